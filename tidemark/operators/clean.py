@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ RATING_COLUMNS = ("userId", "movieId", "rating", "timestamp")
 RATING_RANGE = (0.5, 5.0)
 
 
+def _typed(column: str) -> str:
+    return f"typed_{column}"
+
+
 @dataclass(frozen=True)
 class CleanResult:
     """Lazy views of one checked input."""
@@ -28,13 +34,13 @@ class CleanResult:
     def valid(self) -> DataFrame:
         """Typed rows that passed every check."""
         return self.checked.filter(F.col(validate.REASON).isNull()).select(
-            *[F.col(f"typed.{c}").alias(c) for c in self.columns]
+            *[F.col(_typed(c)).alias(c) for c in self.columns]
         )
 
     @property
     def rejects(self) -> DataFrame:
         """Rejected rows as they were read, with the reason."""
-        return validate.rejected_rows(self.checked).drop("typed")
+        return validate.rejected_rows(self.checked).drop(*map(_typed, self.columns))
 
     @property
     def metrics(self) -> DataFrame:
@@ -67,20 +73,20 @@ def clean_ratings(
     """
     user, item, value, time = columns
     typed = F.struct(
-        parse_integer(user).alias(user),
-        parse_integer(item).alias(item),
-        parse_float(value).alias(value),
-        parse_integer(time).alias(time),
+        parse_integer(user).alias(_typed(user)),
+        parse_integer(item).alias(_typed(item)),
+        parse_float(value).alias(_typed(value)),
+        parse_integer(time).alias(_typed(time)),
     )
-    rating = F.col(f"typed.{value}")
+    rating = F.col(_typed(value))
     in_range = rating.between(lo, hi)
     if keep_nan:
         in_range = in_range | F.isnan(rating)
-    all_typed = F.lit(True)
-    for name in columns:
-        all_typed = all_typed & F.col(f"typed.{name}").isNotNull()
+    all_typed = reduce(and_, (F.col(_typed(c)).isNotNull() for c in columns))
+    # `inline` converts each row once; as a projection the conversions would be
+    # repeated in every filter on the reason.
     checked = validate.with_reject_reason(
-        rows.withColumn("typed", typed),
+        rows.select("*", F.inline(F.array(typed))),
         [("arity", F.col(CORRUPT).isNull()), ("type", all_typed), ("range", in_range)],
     )
     return CleanResult(checked, tuple(columns))

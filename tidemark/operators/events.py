@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def parse_json_records(
     projection Spark would push the filter under it and parse every record twice.
     """
     parsed = records.select(F.inline(F.array(F.from_json(json_column, schema))))
-    complete = reduce(lambda a, b: a & b, (F.col(f.name).isNotNull() for f in schema))
+    complete = reduce(and_, (F.col(f.name).isNotNull() for f in schema))
     return parsed.filter(complete)
 
 

@@ -11,11 +11,12 @@ group in which the budget runs out, and only that piece gets a running sum.
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.workspace import shared_table
+from tidemark.workspace import broadcast_if_small, shared_table
 
 DEFAULT_BUDGET = 300 * 1024 * 1024
 NEWLINE_BYTES = 1
@@ -54,13 +55,19 @@ def byte_prefix(
     if not groups:
         bound = bounds.first()
         return df if bound is None else df.filter(F.col(order) < F.lit(bound["overflow"]))
-    # One row per group that overflows; Spark broadcasts it by measured size, and
-    # splits a hot group of the other side when it has to sort instead.
-    cut = df.join(bounds, groups, "left")
+    # One row per group that overflows.
+    cut = _attach(df, broadcast_if_small(bounds, "prefix-bounds"), groups, "left")
     fits = F.col("overflow").isNull() | (F.col(order) < F.col("overflow"))
     return cut.filter(fits).select(*df.columns)
 
 
+def _attach(df: DataFrame, bounds: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join in which a null key is a group like any other."""
+    renamed = bounds.withColumnsRenamed({k: f"bound_{k}" for k in keys})
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"bound_{k}")) for k in keys))
+    return df.join(renamed, same, how).drop(*(f"bound_{k}" for k in keys))
+
+
 def _overflow(
     sizes: DataFrame, groups: list[str], order: str, budget: int, pieces: int, max_rows: int
 ) -> DataFrame:
@@ -89,11 +96,11 @@ def _overflow(
             totals.withColumn("after", running)
             .withColumn("before", F.col("after") - F.col("bytes"))
             .filter((F.col("before") <= budget) & (F.col("after") > budget))
+            .select(*groups, "piece", "before", "row_count")
         )
-        frame = (
-            ranged.drop("before")
-            .join(crossing.select(*groups, "piece", "before"), [*groups, "piece"])
-            .drop("piece")
+        crossing = broadcast_if_small(crossing, "prefix-pieces")
+        frame = _attach(ranged.drop("before"), crossing, [*groups, "piece"], "inner").drop(
+            "piece", "row_count"
         )
         largest = crossing.agg(F.max("row_count")).first()[0]
         if largest is None or largest <= max_rows or largest == rows:
@@ -111,7 +118,7 @@ def text_file_prefix(
 ) -> DataFrame:
     """Leading lines of every text file under ``paths``, each file within ``budget`` bytes.
 
-    Gives (file, block, position, line, is_header). The first line of a file is
+    Gives (file, block, position, line). The first line of a file is
     its header: it is always kept and counts. The scan's own splits are the
     pieces here, so nothing is shuffled but one total per split. (A compressed
     file is a single split.)
@@ -135,6 +142,7 @@ def text_file_prefix(
         .select("file", F.col("block").alias("cut_block"), "before")
     )
     # Only lines up to the split where the budget runs out are looked at again.
+    crossing = broadcast_if_small(crossing, "prefix-files")
     near = lines.join(crossing, "file", "left").filter(
         F.col("cut_block").isNull() | (F.col("block") <= F.col("cut_block"))
     )

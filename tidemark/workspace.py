@@ -11,6 +11,9 @@ import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @lru_cache(maxsize=1)
@@ -39,3 +42,15 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
     path = run_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` as a shared table, marked for broadcast only if its measured size allows it.
+
+    Beyond ``max_bytes`` there is no hint: the join shuffles, and Spark splits the
+    partitions of hot keys at run time.
+    """
+    stored = shared_table(df, label)
+    row_bytes = F.octet_length(F.to_json(F.struct("*")))
+    measured = stored.agg(F.coalesce(F.sum(row_bytes), F.lit(0))).first()[0]
+    return F.broadcast(stored) if measured <= max_bytes else stored
