@@ -119,8 +119,22 @@ def test_files_cut_at_line_ends(spark, files, budget):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     for path in files.iterdir():
-        mine = sorted((r.block, r.position, r.line) for r in rows if r.file.endswith(path.name))
-        assert [line for _, _, line in mine] == _file_prefix(path, budget)
+        mine = sorted(r[1:] for r in rows if r.file.endswith(path.name))
+        assert [r[2] for r in mine] == _file_prefix(path, budget)
+        assert [r[3] for r in mine] == [True] + [False] * (len(mine) - 1)
+
+
+def test_line_ends_of_two_bytes_count_as_one(spark, tmp_path):
+    """Bytes are counted after line ends are decoded."""
+    path = tmp_path / "crlf.csv"
+    path.write_bytes(b"h\r\n" + b"ab\r\n" * 500 + b"\r\n" * 1500 + b"z\r\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for budget in (100, 1_500, 2_000, 3_002, 3_003, 3_004, 3_005):
+            rows = text_file_prefix(spark, str(path), budget).collect()
+            assert [r.line for r in sorted(rows, key=lambda r: r[1:3])] == _file_prefix(path, budget)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_file_profile(spark, files):

@@ -118,42 +118,51 @@ def text_file_prefix(
 ) -> DataFrame:
     """Leading lines of every text file under ``paths``, each file within ``budget`` bytes.
 
-    Gives (file, block, position, line). The first line of a file is
-    its header: it is always kept and counts. The scan's own splits are the
-    pieces here, so nothing is shuffled but one total per split. (A compressed
-    file is a single split.)
+    Gives (file, block, position, line, is_header); lines of a file are in order
+    of (block, position). The first line of a file is its header: it is always
+    kept and counts. The scan's own splits are the pieces here, so nothing is
+    shuffled but one total per split. (A compressed file is a single split.)
     """
-    lines = (
+    # Split bounds may move between two scans, for instance when executors come
+    # and go, so lines are scanned once and written down. A line costs at least
+    # half of its raw bytes (a bare CR LF counts as one), so what lies behind
+    # twice the budget cannot be part of a prefix and is not kept.
+    lines = shared_table(
         spark.read.text(paths)
         .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("position"),
             F.col("value").alias("line"),
+            line_bytes("value").alias("bytes"),
         )
-        .withColumn("bytes", line_bytes("line"))
+        .filter(F.col("block") <= 2 * budget),
+        "lines",
     )
-    totals = lines.groupBy("file", "block").agg(F.sum("bytes").alias("bytes"))
-    by_block = Window.partitionBy("file").orderBy("block")
-    crossing = (
-        totals.withColumn("after", F.sum("bytes").over(by_block))
+    totals = lines.groupBy("file", "block").agg(
+        F.sum("bytes").alias("bytes"), F.min("position").alias("first")
+    )
+    after = F.sum("bytes").over(Window.partitionBy("file").orderBy("block"))
+    crosses = (F.col("before") <= budget) & (F.col("after") > budget)
+    per_file = (
+        totals.withColumn("after", after)
         .withColumn("before", F.col("after") - F.col("bytes"))
-        .filter((F.col("before") <= budget) & (F.col("after") > budget))
-        .select("file", F.col("block").alias("cut_block"), "before")
+        .groupBy("file")
+        .agg(
+            F.min_by("first", "block").alias("header"),
+            F.max(F.when(crosses, F.col("block"))).alias("cut_block"),
+            F.max(F.when(crosses, F.col("before"))).alias("before"),
+        )
     )
-    # Only lines up to the split where the budget runs out are looked at again.
-    crossing = broadcast_if_small(crossing, "prefix-files")
-    near = lines.join(crossing, "file", "left").filter(
-        F.col("cut_block").isNull() | (F.col("block") <= F.col("cut_block"))
+    placed = lines.join(broadcast_if_small(per_file, "lines-per-file"), "file").withColumn(
+        "is_header", F.col("position") == F.col("header")
     )
-    whole = near.filter(F.col("cut_block").isNull() | (F.col("block") < F.col("cut_block")))
-    # Positions grow within a split, whatever their absolute values are.
+    whole = placed.filter(F.col("cut_block").isNull() | (F.col("block") < F.col("cut_block")))
     in_split = Window.partitionBy("file", "block").orderBy("position")
     cut = (
-        near.filter(F.col("block") == F.col("cut_block"))
+        placed.filter(F.col("block") == F.col("cut_block"))
         .withColumn("spent", F.col("before") + F.sum("bytes").over(in_split))
-        .withColumn("row", F.row_number().over(in_split))
-        .filter((F.col("spent") <= budget) | ((F.col("block") == 0) & (F.col("row") == 1)))
+        .filter((F.col("spent") <= budget) | F.col("is_header"))
     )
-    columns = ["file", "block", "position", "line"]
+    columns = ["file", "block", "position", "line", "is_header"]
     return whole.select(*columns).unionByName(cut.select(*columns))

@@ -228,6 +228,15 @@ FROM documents GROUP BY lang
 SELECT fmt, count(*) AS row_count, cast(sum({_cents("o_totalprice")}) AS bigint) AS total_cents,
        min(o_orderdate) AS first_date, count(DISTINCT o_orderpriority) AS priorities
 FROM orders, (SELECT unnest(['csv', 'json', 'parquet']) AS fmt) GROUP BY fmt
+""",
+    "batch_job_genres": f"""
+WITH {_checked(0.5, 5.0, ragged=False)},
+listed AS (
+  SELECT p_partkey, unnest(list_distinct(string_split(p_name, ' '))) AS category FROM part)
+SELECT category, count(*) AS row_count, count(DISTINCT p_partkey) AS item_count,
+       {_mean("tr")} AS avg_value
+FROM checked JOIN listed ON tm = p_partkey
+WHERE reject_reason IS NULL GROUP BY category
 """,
     "publish_tables": f"""
 WITH {_CHECKED}

@@ -22,6 +22,7 @@ from tidemark.operators.events import (
 from tidemark.operators.prefix import byte_prefix
 from tidemark.operators.profile import file_profile, table_profile
 from tidemark.operators.stats import key_avg, key_stats, windowed_stats
+from tidemark.plans.batch_job import run_batch
 from tidemark.plans.tables import rating_lines, rating_texts, ratings, table
 from tidemark.sinks import BatchWriter, ensure_database, publish_table, read_batches, write_csv
 from tidemark.sinks.batches import BATCH
@@ -426,3 +427,16 @@ def publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.groupBy(F.lit("ratings_raw").alias("table_name")).agg(count).unionByName(
         clean.groupBy(F.lit("ratings_clean").alias("table_name")).agg(count)
     )
+
+
+@_register
+def batch_job_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job on events as a ratings file and parts as items; gives its category result."""
+    out = run_dir(spark, "batch_job_genres")
+    write_csv(rating_texts(table(spark, sf_dir, "events")), f"{out}/ratings")
+    movies = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_type", F.translate("p_name", " ", "|").alias("genres")
+    )
+    write_csv(movies, f"{out}/movies")
+    run_batch(spark, f"{out}/ratings", f"{out}/movies", f"{out}/results", scale=2)
+    return read_table(spark, f"{out}/results/genre_stats", "parquet")
