@@ -36,6 +36,23 @@ def test_against_a_running_sum(spark, budget, header_bytes):
     assert _keys(kept) == _expected(rows, budget, header_bytes)
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "string", "int", "double", "date"])
+def test_orders_of_any_type(spark, kind):
+    rows = _texts(60)
+    base = spark.createDataFrame(rows, "id int, text string")
+    keys = {
+        "timestamp_ntz": "timestamp_ntz'2024-01-01 00:00:00.5' + make_interval(0, 0, 0, id)",
+        "timestamp": "timestamp'2024-01-01 00:00:00.5' + make_interval(0, 0, 0, id)",
+        "string": "lpad(id, 3, '0')",
+        "int": "id",
+        "double": "id / 7",
+        "date": "date_add(date'2024-01-01', id)",
+    }
+    df = base.selectExpr("id", "text", f"cast({keys[kind]} as {kind}) as o")
+    assert df.schema["o"].dataType.simpleString() == kind
+    assert _keys(byte_prefix(df, "text", "o", 700)) == _expected(rows, 700)
+
+
 def test_the_prefix_ends_at_the_first_overflow(spark):
     rows = [(1, "x" * 9), (2, "x" * 49), (3, "x" * 4)]
     df = spark.createDataFrame(rows, "id long, text string")

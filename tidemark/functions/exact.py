@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def fixed_point(value: Column | str, scale: int) -> Column:
-    """``value`` as BIGINT units of ``10**-scale``."""
+    """``value`` as BIGINT units of ``10**-scale``; NaN and infinity have none and raise an error."""
     value = F.col(value) if isinstance(value, str) else value
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 

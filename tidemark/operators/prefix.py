@@ -15,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.workspace import broadcast_if_small, shared_table
 
@@ -54,7 +55,12 @@ def byte_prefix(
     )
     if not groups:
         bound = bounds.first()
-        return df if bound is None else df.filter(F.col(order) < F.lit(bound["overflow"]))
+        if bound is None:
+            return df
+        value, kind = bound["overflow"], df.schema[order].dataType
+        # A zone-less time has to reach the plan without passing through a zone.
+        literal = F.lit(str(value)) if isinstance(kind, T.TimestampNTZType) else F.lit(value)
+        return df.filter(F.col(order) < literal.cast(kind))
     # One row per group that overflows.
     cut = _attach(df, broadcast_if_small(bounds, "prefix-bounds"), groups, "left")
     fits = F.col("overflow").isNull() | (F.col(order) < F.col("overflow"))
@@ -72,11 +78,13 @@ def _overflow(
     sizes: DataFrame, groups: list[str], order: str, budget: int, pieces: int, max_rows: int
 ) -> DataFrame:
     """Per group that exceeds ``budget``: the ``order`` value of its first line beyond it."""
-    frame = sizes.withColumn("before", F.lit(0).cast("bigint"))
+    # Range partitioning reads its input twice, first to sample it. Keys and sizes
+    # are written down beforehand, so that the texts are read once.
+    frame = shared_table(sizes, "sizes").withColumn("before", F.lit(0).cast("bigint"))
     rows = None
     while True:
-        # Sampled range bounds may differ between two evaluations, so piece
-        # numbers are written down with the rows: keys and sizes only, no text.
+        # Sampled bounds may differ between two evaluations, so piece numbers are
+        # written down too.
         ranged = shared_table(
             frame.repartitionByRange(pieces, *groups, order).withColumn(
                 "piece", F.spark_partition_id()
