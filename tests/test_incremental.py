@@ -37,6 +37,20 @@ def test_latest_version_takes_whole_rows(spark, history, records):
     assert records(latest) == sorted(_newest(history).values(), key=repr)
 
 
+def test_latest_version_of_numbers(spark, history, records):
+    rows = [(k, version, v) for k, version, _, v in history]
+    df = spark.createDataFrame(rows, "k int, version int, v double").repartition(5)
+    latest = incremental.latest_version(df, ["k"], "version")
+    assert records(latest) == sorted(_newest(rows).values(), key=repr)
+
+
+def test_latest_version_is_limited_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, 1, "a")], SCHEMA.rsplit(",", 1)[0])
+    latest = incremental.latest_version(df, ["k"], "version")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
 def test_latest_version_of_numbers_needs_no_sort(spark):
     df = spark.createDataFrame([(1, 1, 2.0)], "k int, version int, v double")
     plan = incremental.latest_version(df, ["k"], "version")._jdf.queryExecution().sparkPlan()

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Values of these types are updated in place by a hash aggregation.
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """The row with the highest ``version`` per key; columns keep their order.
+    """The row with the highest ``version`` (unique per key) for each key; columns keep their order.
 
-    An aggregation instead of a ranking window: each task keeps one row per key
-    before the shuffle, so a key rewritten in every batch does not pile up in one
-    task. Within an aggregation all columns see the rows in the same order, so they
-    come from the same row.
+    Both forms keep one row per key and task before the shuffle, so a key
+    rewritten in every batch does not pile up in one task. Fixed-width columns are
+    aggregated by hash: all of them see the rows in the same order, and so come
+    from the same row. Others would make that a sort per column, where a ranking
+    that Spark limits to the first row within each task sorts only once.
     """
     others = [c for c in df.columns if c not in (*keys, version)]
-    newest = df.groupBy(*keys).agg(
-        F.max(version).alias(version), *[F.max_by(c, version).alias(c) for c in others]
-    )
-    return newest.select(*df.columns)
+    if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in others):
+        newest = df.groupBy(*keys).agg(
+            F.max(version).alias(version), *[F.max_by(c, version).alias(c) for c in others]
+        )
+        return newest.select(*df.columns)
+    by_version = Window.partitionBy(*keys).orderBy(F.desc(version))
+    ranked = df.withColumn("version_rank", F.row_number().over(by_version))
+    return ranked.filter(F.col("version_rank") == 1).drop("version_rank")
 
 
 def high_water(df: DataFrame, ts: str) -> Column:
