@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +119,12 @@ def test_file_names_are_known(spark, tmp_path, records):
     assert records(read_csv_text(spark, str(tmp_path)), "file_name") == [("a.csv",), ("b.csv",)]
 
 
+def test_line_breaks_in_quotes(spark, tmp_path, records):
+    (tmp_path / "ratings.csv").write_text('a,b,c,d\n"1\n",2,3.0,4\n5,6,"2.0",7\n')
+    rows = read_csv_text(spark, str(tmp_path), multi_line=True)
+    assert records(clean_ratings(rows).valid) == [(1, 2, 3.0, 4), (5, 6, 2.0, 7)]
+
+
 def test_first_broken_rule_is_the_reason(spark, records):
     df = spark.createDataFrame([(1, 1), (-1, -1), (1, -1), (None, 1)], "a int, b int")
     checked = validate.with_reject_reason(df, [("a", F.col("a") > 0), ("b", F.col("b") > 0)])
@@ -128,3 +137,31 @@ def test_rows_are_converted_once(spark):
     lines = spark.createDataFrame([("1,2,3.0,4",)], "line string")
     plan = clean_ratings(csv_lines(lines)).valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("try_cast") == 4
+
+
+def _row_by_row(line):
+    """The same rules in plain Python; None for a rejected line."""
+    fields = next(csv.reader([line]), [])
+    if len(fields) != 4:
+        return None
+    try:
+        user, item, rating, time = int(fields[0]), int(fields[1]), float(fields[2]), int(fields[3])
+    except ValueError:
+        return None
+    return (user, item, rating, time) if 0.5 <= rating <= 5.0 else None
+
+
+def test_random_lines_against_plain_python(spark, records):
+    random.seed(23)
+    pieces = ["1", "0", "42", "5", ".5", "4.", "-", "+", "e", "E1", " ", "\t", "x", "nan", "inf", "f", "d", "L"]
+
+    def field():
+        text = "".join(random.choice(pieces) for _ in range(random.choice([1, 1, 1, 1, 2, 3])))
+        return f'"{text}"' if random.random() < 0.1 else text
+
+    lines = [",".join(field() for _ in range(random.choice([4] * 9 + [3, 5]))) for _ in range(4000)]
+    lines += [",".join(random.choice(["1", "5", " 3", "2 "]) for _ in range(4)) for _ in range(500)]
+    expected = [row for row in map(_row_by_row, lines) if row]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    assert 300 < len(expected) < 4000
+    assert records(clean_ratings(csv_lines(df)).valid) == sorted(expected, key=repr)

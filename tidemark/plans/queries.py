@@ -137,8 +137,7 @@ def json_parse_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_roundtrip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records encoded, damaged by item number, sent as bytes, decoded and parsed."""
     source = ratings(table(spark, sf_dir, "events"))
-    k = F.get_json_object("value", "$.movieId").cast("int")
-    value = F.col("value")
+    k, value = F.col("k"), F.col("value")
     damaged = (
         F.when(k == 0, "not json")
         .when(k == 1, "")
@@ -153,9 +152,9 @@ def json_roundtrip_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 10, F.concat(value, F.lit(" trailing")))
         .otherwise(value)
     )
-    messages = encode_events(source, "userId", RATING_FIELDS).select(
-        "key", damaged.cast("binary").alias("value")
-    )
+    item = F.get_json_object("value", "$.movieId").cast("int")
+    messages = encode_events(source, "userId", RATING_FIELDS).withColumn("k", item)
+    messages = messages.select("key", damaged.cast("binary").alias("value"))
     return _without_zone(parse_ratings(decode_payload(messages)), "event_timestamp")
 
 

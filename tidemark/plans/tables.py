@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def props_k(props: str = "props") -> Column:
-    return F.from_json(props, "k int")["k"]
+    return F.get_json_object(props, "$.k").cast("int")
 
 
 def ratings(events: DataFrame) -> DataFrame:

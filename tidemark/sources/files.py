@@ -45,16 +45,21 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv_text(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str] = RATING_COLUMNS
+    spark: SparkSession,
+    path: str | list[str],
+    columns: Sequence[str] = RATING_COLUMNS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files or directories of ``*.csv`` as text columns, with ``_corrupt_record`` and ``file_name``.
 
     Nothing is typed or dropped here, so that the cleaner can count what it
     rejects. Blank lines are the exception: Spark's reader does not see them.
+    ``multi_line`` allows line breaks in quoted fields, at the price of one task per file.
     """
     return (
         spark.read.schema(text_schema(columns))
         .options(**CSV_OPTIONS)
+        .option("multiLine", multi_line)
         .option("pathGlobFilter", "*.csv")
         .csv(path)
         .withColumn("file_name", F.col("_metadata.file_name"))
