@@ -130,6 +130,7 @@ def test_first_broken_rule_is_the_reason(spark, records):
     checked = validate.with_reject_reason(df, [("a", F.col("a") > 0), ("b", F.col("b") > 0)])
     assert records(validate.reject_counts(checked)) == [("a", 2), ("b", 1)]
     assert records(validate.valid_rows(checked)) == [(1, 1)]
+    assert validate.rejected_rows(validate.with_reject_reason(df, [])).count() == 0
 
 
 def test_rows_are_converted_once(spark):

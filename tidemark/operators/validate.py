@@ -15,10 +15,8 @@ def with_reject_reason(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> Da
 
     A rule is (name, condition that must hold); a condition that is null does not hold.
     """
-    reason = F
-    for name, holds in rules:
-        reason = reason.when(~F.coalesce(holds, F.lit(False)), F.lit(name))
-    return df.withColumn(REASON, reason)
+    broken = [F.when(~F.coalesce(holds, F.lit(False)), F.lit(name)) for name, holds in rules]
+    return df.withColumn(REASON, F.coalesce(F.lit(None).cast("string"), *broken))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
