@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from tidemark.plans.tables import SCHEMAS, table
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
@@ -34,6 +35,12 @@ def test_same_rows_as_sql(spark, con, name):
     assert _rows(df.columns, map(tuple, df.collect())) == _rows(columns, result.fetchall())
 
 
+@pytest.mark.parametrize("name", list(SCHEMAS))
+def test_tables_have_the_stated_columns(spark, name):
+    found = spark.read.parquet(str(SF_DIR / f"{name}.parquet")).dtypes
+    assert found == table(spark, str(SF_DIR), name).dtypes
+
+
 def test_every_query_has_sql():
     assert list(spark_entry.oracle_sql().keys()) and set(spark_entry.oracle_sql()) == set(
         spark_entry.queries()

@@ -57,8 +57,9 @@ def run_batch(
     else:
         kept = text_file_prefix(spark, ratings_csv, budget)
         rows = csv_lines(kept.filter(~F.col("is_header")).select("line"))
-    counters = clean_ratings(rows).write_valid(f"{output}/ratings")
-    ratings = read_table(spark, f"{output}/ratings", "parquet")
+    cleaned = clean_ratings(rows)
+    counters = cleaned.write_valid(f"{output}/ratings")
+    ratings = read_table(spark, f"{output}/ratings", "parquet", cleaned.valid.schema)
     movies = read_table(spark, movies_csv, "csv", MOVIE_SCHEMA)
     for name, result in analyses(ratings, movies, scale=scale).items():
         write_parquet(result, f"{output}/{name}")

@@ -8,10 +8,25 @@ from pyspark.sql import functions as F
 from tidemark.functions import as_event_time
 
 
+# Columns of the input tables. Reading with a schema saves the job that infers one.
+SCHEMAS = {
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table. Times are UTC, so the session zone is pinned."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def props_k(props: str = "props") -> Column:
