@@ -33,8 +33,6 @@ MAGIC = b"TMIDS\x01"
 FOOTER = struct.Struct("<6sBBIQQQQQ")
 #: Entries of a worker's table of words.
 MEMO_WORDS = 500_000
-#: Start of a stretch that no other text changes: a space between two other characters.
-STRETCH = re.compile(r"(?<=\S)(?= \S)")
 
 
 def bits_for(vocabulary_size: int) -> int:
@@ -140,10 +138,11 @@ class TokenFile:
 
 
 class WordwiseTokenizer:
-    """The ``tokenizers`` library behind a table of the stretches of text that it has encoded.
+    """The ``tokenizers`` library behind a table of the words that it has encoded.
 
     A byte-level tokenizer splits at a space between two other characters whatever stands around,
-    so the ids of a text are those of its stretches in a row.
+    so the ids of a text are those of its first word and of each later one with its space. Texts with other
+    white space beside a space are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -161,15 +160,23 @@ class WordwiseTokenizer:
         self.spaced = np.zeros(self.size, bool)
         for name, token in self.tokenizer.get_vocab().items():
             self.spaced[token] = name.startswith("Ġ")
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes | None] = {}
+        self.marks = {mark: self._ids(mark).tobytes() for mark in ",."}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if w[0] == " " and len(w.split()) == 1]
+        """Encode new words after a space, all in one call.
+
+        A comma or full stop after letters is a token of its own. A word with white space at an end is not one
+        that nothing else changes; it gets no ids.
+        """
+        marked = {w for w in words if w[-1:] in (",", ".") and w[:-1].isalpha()}
+        words = words.difference(marked).union(w[:-1] for w in marked).difference(self.memo)
+        plain = [w for w in words if len(w.split()) == 1 and not w[0].isspace() and not w[-1].isspace()]
         if plain:
-            ids = self._ids("".join(plain))
+            ids = self._ids(" " + " ".join(plain))
             starts = np.flatnonzero(self.spaced[ids])
             if len(starts) == len(plain):
                 cuts = [*(4 * starts).tolist(), 4 * len(ids)]
@@ -177,7 +184,22 @@ class WordwiseTokenizer:
                 for word, a, b in zip(plain, cuts, cuts[1:]):
                     self.memo[word] = data[a:b]
         for word in words.difference(self.memo):
-            self.memo[word] = self._ids(word).tobytes()
+            free = word and not word[0].isspace() and not word[-1].isspace()
+            self.memo[word] = self._ids(" " + word).tobytes() if free else None
+        for word in marked:
+            self.memo[word] = self.memo[word[:-1]] + self.marks[word[-1]]
+
+    def _text(self, text: str | None, words: list[str] | None) -> np.ndarray:
+        if words:
+            try:
+                found = b"".join(map(self.memo.__getitem__, words[1:]))
+            except TypeError:  # a word without ids: white space beside a space
+                pass
+            else:
+                first = words[0]
+                if first and not first[-1].isspace():
+                    return np.frombuffer(self._ids(first).tobytes() + found, "<u4")
+        return self._ids(text or "")
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.memo) >= MEMO_WORDS:
@@ -185,15 +207,14 @@ class WordwiseTokenizer:
         split, missing = [], set()
         for text in texts:
             whole = not text or (self.special is not None and self.special.search(text))
-            words = None if whole else STRETCH.split(text)
+            words = None if whole else text.split(" ")
             split.append(words)
             if words:
-                missing.update(words)
+                missing.update(words[1:])
         missing.difference_update(self.memo)
         if missing:
             self._learn(missing)
-        lookup = self.memo.__getitem__
-        return [self._ids(text or "") if words is None else np.frombuffer(b"".join(map(lookup, words)), "<u4") for text, words in zip(texts, split)]
+        return [self._text(text, words) for text, words in zip(texts, split)]
 
 
 @lru_cache(maxsize=2)
