@@ -37,7 +37,7 @@ K1, B = 1.2, 0.75
 SHINGLE = 5
 MARKS = re.compile(r"[\W_]+")
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 #: Halves of windows whose bounds are computed at a time.
 PORTION = 64
 LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("question_overlap", T.DoubleType()), T.StructField("answer_overlap", T.DoubleType())]))

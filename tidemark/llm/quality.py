@@ -31,7 +31,7 @@ from tidemark.llm.tasks import map_batches, slices
 DIM = 1 << 16
 FORMS = 1 << 12  # the first places are for words' forms
 REPEAT = DIM  # one more place: words equal to the one before
-MEMO_WORDS = 500_000
+MEMO_WORDS = 250_000
 #: Graded rows that a fit uses at most.
 MAX_ROWS = 4000
 
