@@ -27,22 +27,33 @@ def slot_of(key: str, slots: int = SLOTS) -> Column:
 
 
 def edited(shard_of: np.ndarray, weight: np.ndarray, shards: int) -> np.ndarray:
-    """A map in which no move of one slot from the fullest to the emptiest shard evens them further.
+    """A map in which no move of a slot from the fullest to the emptiest shard, or swap between them, evens them further.
 
-    ``shard_of`` is the map to edit; slots of shards that are no longer there count as moved first.
+    ``shard_of`` is the map to edit; slots of shards that are no longer there are dealt out first.
     """
     shard_of = np.where(shard_of < shards, shard_of, np.arange(len(shard_of)) % shards)
     load = np.bincount(shard_of, weights=weight, minlength=shards)
     while True:
         high, low = int(load.argmax()), int(load.argmin())
         gap = load[high] - load[low]
-        own = np.flatnonzero((shard_of == high) & (weight > 0) & (weight < gap))
-        if not len(own):
+        own = np.flatnonzero((shard_of == high) & (weight > 0))
+        others = np.flatnonzero(shard_of == low)
+        others = others[np.argsort(weight[others], kind="stable")]
+        # A move is a swap with nothing.
+        given = np.concatenate([[0.0], weight[others]])
+        near = np.searchsorted(given, weight[own] - gap / 2).clip(0, len(given) - 1)
+        place = np.concatenate([near, np.maximum(near - 1, 0)])
+        slots = np.concatenate([own, own])
+        moved = weight[slots] - given[place]
+        useful = np.flatnonzero((moved > 0) & (moved < gap))
+        if not len(useful):
             return shard_of
-        slot = own[np.abs(weight[own] - gap / 2).argmin()]
-        shard_of[slot] = low
-        load[high] -= weight[slot]
-        load[low] += weight[slot]
+        best = useful[np.abs(moved[useful] - gap / 2).argmin()]
+        shard_of[slots[best]] = low
+        if place[best]:
+            shard_of[others[place[best] - 1]] = high
+        load[high] -= moved[best]
+        load[low] += moved[best]
 
 
 class SlotMaps:
