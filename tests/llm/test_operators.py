@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, minhash, quality, sharding, token_files, toxicity, warc
 from tidemark.llm.components import connected_components
 from tidemark.llm.queries import tokenizer
-from tidemark.llm.wand import BlockMaxIndex
+from tidemark.llm.wand import BlockMaxIndex, BlockMaxMatrix
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, row string, value string"
 LONG = "long word " * 20_000
@@ -74,7 +74,7 @@ def test_bpe_rows(docs, empty):
 def test_wand_is_exact():
     rng = random.Random(1)
     postings = [(d, t, round(rng.random(), 2)) for d in range(300) for t in rng.sample(range(40), 6)]
-    index = BlockMaxIndex(postings, block=8)
+    index, matrix = BlockMaxIndex(postings, block=8), BlockMaxMatrix(postings, 45, 300, block=4)
     for _ in range(50):
         query = {t: rng.choice([0.5, 1.0, 2.0]) for t in rng.sample(range(45), 7)}
         scores = defaultdict(float)
@@ -84,6 +84,9 @@ def test_wand_is_exact():
         assert [d for d, _ in index.above(query, 1.5)] == sorted(d for d, s in scores.items() if s >= 1.5)
         best = sorted(((-s, d) for d, s in scores.items() if s > 0))[:5]
         assert [round(s, 9) for _, s in index.nearest(query, 5)] == [round(-s, 9) for s, _ in best]
+        by_matrix = matrix.nearest(query, 5)
+        assert [round(s, 9) for _, s in by_matrix] == [round(-s, 9) for s, _ in best]
+        assert all(abs(scores[d] - s) < 1e-9 for d, s in by_matrix)
 
 
 def test_leaks(spark, docs, empty):

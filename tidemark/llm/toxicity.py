@@ -5,8 +5,9 @@
    all training rows; copies of a text count once. The terms that speak most for label 1 (by the likelihood
    ratio) are the vocabulary, at most ``vocabulary`` of them.
 2. A text's vector has the idf of each vocabulary term of the whole text, at length 1. A bounded sample of labelled
-   examples with a vector (``max_examples``, by a hash of the identifier) is the index: posting lists with block maxima.
-3. The ``neighbours`` examples of greatest cosine are found exactly by WAND. They vote with the square of
+   examples with a vector (``max_examples``, by a hash of the identifier) is the index: the terms'
+   impacts in blocks of examples, with block maxima. Examples with like terms are neighbours in it, which makes the maxima tight.
+3. The ``neighbours`` examples of greatest cosine are found exactly: blocks are scored in the order of their bounds, as far as these can reach the best. They vote with the square of
    the cosine as weight, beside a prior vote of weight ``prior``; so far examples count little.
 4. Votes become probabilities by isotonic regression on the votes that the examples get from the others. A text without
    any of the words gets the rate of label 1 among training texts without them.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.tasks import map_batches, slices
-from tidemark.llm.wand import BlockMaxIndex
+from tidemark.llm.wand import BlockMaxMatrix
 from tidemark.workspace import broadcast_if_small, shared_table
 
 VOCABULARY, MAX_EXAMPLES, NEIGHBOURS, PRIOR = 1024, 6000, 15, 0.05
@@ -108,10 +109,10 @@ class ToxicityModel:
     rate: float
     steps: list[tuple[float, float]]  # votes and probabilities, both ascending
 
-    def index(self) -> tuple[Vectors, BlockMaxIndex]:
+    def index(self) -> tuple[Vectors, BlockMaxMatrix]:
         vectors = Vectors(self.idf)
         postings = [(n, t, x) for n, (_, _, terms) in enumerate(self.examples) for t, x in vectors.unit(terms).items()]
-        return vectors, BlockMaxIndex(postings, block=64)
+        return vectors, BlockMaxMatrix(postings, len(vectors.idf), len(self.examples))
 
     def vote(self, near: list[tuple[int, float]], prior: float) -> float:
         weights = [(cosine * cosine, self.examples[n][1]) for n, cosine in near]
@@ -201,7 +202,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     found = shared_table(map_batches(labelled, vectors, f"key {kind}, label int, terms array<int>"), "example-vectors")
     empty = found.where(F.size("terms") == 0).agg(F.avg("label")).first()[0]
     sample = found.where(F.size("terms") > 0).orderBy(F.xxhash64("key"), "key", "label").limit(max_examples)
-    examples = [(r["key"], r["label"], tuple(r["terms"])) for r in sample.collect()]
+    examples = sorted(((r["key"], r["label"], tuple(r["terms"])) for r in sample.collect()), key=lambda e: (e[2], e[0], e[1]))
     model = ToxicityModel(idf, examples, rate if empty is None else float(empty), rate, [])
     shared = spark.sparkContext.broadcast(model)  # max_examples vectors of the vocabulary's words
 

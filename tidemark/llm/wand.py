@@ -121,3 +121,44 @@ class BlockMaxIndex:
                     ended = ended or cursor[0] == END
             if ended:
                 cursors = [c for c in cursors if c[0] != END]
+
+
+class BlockMaxMatrix:
+    """Block maxima over a bounded collection, held as arrays: exact nearest documents for long queries.
+
+    All blocks' bounds are one product. The blocks with the highest bounds are scored first, then only those whose bound
+    reaches the last of the best found.
+    """
+
+    FIRST = 8
+
+    def __init__(self, postings: Iterable[tuple[int, int, float]], terms: int, documents: int, block: int = 32):
+        self.block, self.documents = block, documents
+        blocks = max(1, -(-documents // block))
+        self.impacts = np.zeros((terms, blocks * block))
+        for doc, term, impact in postings:
+            self.impacts[term, doc] = impact
+        self.tops = self.impacts.reshape(terms, blocks, block).max(axis=2)
+
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        docs = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+        return docs, weights @ self.impacts[np.ix_(terms, docs)]
+
+    def nearest(self, query: dict[int, float], count: int) -> list[tuple[int, float]]:
+        """The ``count`` best documents of positive score, best first; of equal scores (to 12 digits) the smaller number first."""
+        terms = np.array(sorted(query), np.int64)
+        weights = np.array([query[t] for t in terms.tolist()])
+        bounds = weights @ self.tops[terms]
+        order = np.argsort(-bounds, kind="stable")
+        docs, scores = self._scores(terms, weights, order[: self.FIRST])
+        bar = np.partition(scores, -count)[-count] if len(scores) >= count else 0.0
+        rest = order[self.FIRST :]
+        rest = rest[bounds[rest] >= max(bar, 0.0) * (1 - 1e-9)]
+        if len(rest):
+            more, found = self._scores(terms, weights, rest)
+            docs, scores = np.concatenate([docs, more]), np.concatenate([scores, found])
+        scores = np.round(scores, 12)
+        keep = scores > 0
+        docs, scores = docs[keep], scores[keep]
+        best = np.lexsort((docs, -scores))[:count]
+        return list(zip(docs[best].tolist(), scores[best].tolist()))
