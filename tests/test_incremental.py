@@ -109,3 +109,20 @@ def test_merged_stats_equal_stats_of_all_rows(spark, records):
     ]
     merged = incremental.merge_stats(*parts, ["k"])
     assert records(merged) == records(incremental.partial_stats(df, ["k"], "v"))
+
+
+def test_a_late_delta_undoes_nothing(spark, records):
+    schema = "k int, version int, v string"
+    base = spark.createDataFrame([(1, 5, "new"), (2, 1, "old"), (None, 1, "null"), (4, None, "x")], schema)
+    delta = spark.createDataFrame([(1, 3, "late"), (2, 2, "newer"), (None, 2, "null2"), (4, 1, "y"), (5, None, "z")], schema)
+    expected = sorted([(1, 5, "new"), (2, 2, "newer"), (None, 2, "null2"), (4, 1, "y"), (5, None, "z")], key=repr)
+    assert records(incremental.merge_upsert(base, delta, ["k"], "version")) == expected
+    assert records(incremental.merge_upsert(incremental.merge_upsert(base, delta, ["k"], "version"), delta, ["k"], "version")) == expected
+
+
+def test_late_and_null_changes(spark, records):
+    base = spark.createDataFrame([(1, 5, "a"), (None, 1, "b"), (3, 1, "c")], "k int, version int, v string")
+    changes = spark.createDataFrame(
+        [(1, 4, None, "D"), (None, 2, None, "D"), (3, 2, "d", "U"), (6, 1, "e", None)], "k int, version int, v string, op string"
+    )
+    assert records(incremental.apply_changes(base, changes, ["k"], "version")) == sorted([(1, 5, "a"), (3, 2, "d"), (6, 1, "e")], key=repr)

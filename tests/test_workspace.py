@@ -27,6 +27,11 @@ def test_a_local_master_gets_a_temporary_folder():
     assert workspace.shared_dir(session) == workspace.shared_dir(session)
 
 
+def test_a_local_master_uses_its_warehouse():
+    session = Session(spark__master="local[2]", spark__sql__warehouse__dir="file:/w/")
+    assert workspace.shared_dir(session) == "file:/w/_shared"
+
+
 def test_runs_do_not_share_a_path():
     session = Session(spark__checkpoint__dir="/shared")
     assert workspace.run_dir(session, "x") != workspace.run_dir(session, "x")

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.workspace import broadcast_if_small
+
 
 # Values of these types are updated in place by a hash aggregation.
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -47,17 +51,48 @@ def incremental_delta(df: DataFrame, ts: str, after: Column) -> DataFrame:
     return df.filter(F.col(ts) > after)
 
 
+def _same_key(keys: Sequence[str], prefix: str) -> Column:
+    """Equal keys, null equal to null, where the other side's keys carry ``prefix``."""
+    return reduce(and_, (F.col(f"`{k}`").eqNullSafe(F.col(f"`{prefix}{k}`")) for k in keys))
+
+
+def _reconciled(
+    base: DataFrame, delta: DataFrame, keys: Sequence[str], version: str
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``base`` that stand, and the newest row of ``delta`` for each key where it stands.
+
+    A delta row older than the base's row of its key changes nothing; of equal versions the
+    delta wins, and a null version is older than any other. Without a version in ``base`` the delta always wins. The
+    delta is reduced and written once; a small one is broadcast by measured size, so
+    ``base`` is not shuffled.
+    """
+    newest = broadcast_if_small(latest_version(delta, keys, version), "delta")
+    mark = "delta_"
+    heads = newest.select(
+        *[F.col(f"`{k}`").alias(f"{mark}{k}") for k in keys], F.col(version).alias(f"{mark}{version}")
+    )
+    same = _same_key(keys, mark)
+    if version not in base.columns:
+        return base.join(heads, same, "left_anti"), newest
+    newer = F.coalesce(
+        F.col(version) > F.col(f"{mark}{version}"),
+        F.col(version).isNotNull() & F.col(f"{mark}{version}").isNull(),
+    )
+    kept = base.join(heads, same & ~newer, "left_anti")
+    # Late rows of the delta: no more than it has keys.
+    late = base.join(heads, same & newer).select(*[F.col(f"{mark}{k}") for k in keys]).distinct()
+    return kept, newest.join(late, same, "left_anti")
+
+
 def merge_upsert(
     base: DataFrame, delta: DataFrame, keys: Sequence[str], version: str
 ) -> DataFrame:
     """``base`` with the newest ``delta`` row in place of each key it names, and new keys added.
 
-    The delta is reduced to one row per key first. Its keys then drive an anti
-    join: small ones are broadcast by measured size and ``base`` is not shuffled.
+    Rules for versions and nulls are those of :func:`_reconciled`: a replayed or late delta undoes nothing.
     """
-    newest = latest_version(delta, keys, version)
-    kept = base.join(newest.select(*keys), list(keys), "left_anti").select(*base.columns)
-    return kept.unionByName(newest.select(*base.columns))
+    kept, newest = _reconciled(base, delta, keys, version)
+    return kept.select(*base.columns).unionByName(newest.select(*base.columns))
 
 
 def apply_changes(
@@ -68,11 +103,13 @@ def apply_changes(
     op: str = "op",
     delete: str = "D",
 ) -> DataFrame:
-    """``base`` after updates and deletes: the newest change of a key wins, ``delete`` removes it."""
-    newest = latest_version(changes, keys, version)
-    kept = base.join(newest.select(*keys), list(keys), "left_anti").select(*base.columns)
-    upserts = newest.filter(F.col(op) != delete)
-    return kept.unionByName(upserts.select(*base.columns))
+    """``base`` after updates and deletes: the newest change of a key wins, ``delete`` removes it.
+
+    A change older than the base's row is late and changes nothing, where ``base`` has versions.
+    """
+    kept, newest = _reconciled(base, changes, keys, version)
+    upserts = newest.filter(~F.col(op).eqNullSafe(F.lit(delete)))
+    return kept.select(*base.columns).unionByName(upserts.select(*base.columns))
 
 
 def partial_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -26,7 +26,8 @@ class BatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.files_per_batch is not None:
-            batch = batch.coalesce(self.files_per_batch)
+            # A shuffle of the few result rows; coalescing would narrow the stateful stage itself.
+            batch = batch.repartition(self.files_per_batch)
         part = f"{self.path}/{BATCH}={batch_id}"
         batch.write.mode("overwrite").parquet(part)
         if self.export is not None:

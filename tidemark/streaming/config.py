@@ -38,8 +38,7 @@ class StreamConfig:
     ) -> StreamConfig:
         """Settings with defaults; in test mode the production database is refused.
 
-        An unset checkpoint path is None: the job then uses the folder the cluster
-        shares, as a path on one machine would not survive that machine.
+        An unset checkpoint path is None: the job then keeps its progress beside the output.
         """
         env = os.environ if env is None else env
 

@@ -13,7 +13,6 @@ from tidemark.sinks.batches import BatchWriter
 from tidemark.sinks.jdbc import jdbc_properties, write_jdbc
 from tidemark.sources.kafka import kafka_stream
 from tidemark.streaming.config import StreamConfig
-from tidemark.workspace import shared_dir
 
 # Window, lateness and pace of the statistics job.
 WINDOW = "1 minute"
@@ -81,7 +80,10 @@ def finish(query: StreamingQuery, timeout: int | None = None) -> None:
 
 
 def start_realtime_stats(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
-    """The whole job: Kafka ratings to Parquet batches and, if enabled, to the database."""
+    """The whole job: Kafka ratings to Parquet batches and, if enabled, to the database.
+
+    Unless a path is set, progress is kept beside the output, so a restart goes on where it was.
+    """
     messages = kafka_stream(spark, config.kafka_servers, config.kafka_topic)
     export = None
     if config.jdbc_enabled:
@@ -91,7 +93,7 @@ def start_realtime_stats(spark: SparkSession, config: StreamConfig) -> Streaming
             url=config.jdbc_url,
             properties=jdbc_properties(config.jdbc_user, config.jdbc_password),
         )
-    checkpoint = config.checkpoint_path or f"{shared_dir(spark)}/realtime_stats"
+    checkpoint = config.checkpoint_path or f"{config.output_path.rstrip('/')}_checkpoint"
     return start_batches(
         rating_stats(decode_payload(messages)), BatchWriter(config.output_path, export), checkpoint
     )

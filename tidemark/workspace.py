@@ -6,9 +6,7 @@ survives the loss of any executor, which cached blocks do not.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,18 +14,13 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-@lru_cache(maxsize=1)
-def _local_fallback() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or on a local master without it a temporary folder."""
+    """``spark.checkpoint.dir``, or on a local master without it a folder in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_fallback()
+        return f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_shared"
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
