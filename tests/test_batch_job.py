@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tidemark.plans.batch_job import run_batch
+from tidemark.plans.batch_job import analyses, run_batch
 from tidemark.sources import read_table
 
 RESULTS = {
@@ -27,7 +27,7 @@ def inputs(tmp_path):
         rating = random.choice(["3.0", "4.0", "5", "9.0", "x"])
         lines.append(f"{random.randrange(9)},{random.choice([1, 1, 2, 3])},{rating},964980868")
     (tmp_path / "ratings" / "ratings.csv").write_text("\n".join(lines) + "\n")
-    movies = 'movieId,title,genres\n1,"Some, thing (1990)",Drama|War\n2,B (1991),War\n'
+    movies = 'movieId,title,genres\n1,"Some, thing (1990)",Drama|War\n2,B (1991),War\nx,C (1992),War\n'
     (tmp_path / "movies" / "movies.csv").write_text(movies)
     return tmp_path, lines
 
@@ -56,6 +56,7 @@ def test_all_steps(spark, inputs, budget, records):
         "total_rows": len(lines) - 1,
         "valid_rows": len(valid),
         "skipped_rows": len(lines) - 1 - len(valid),
+        "skipped_items": 1,
     }
     assert {p.name for p in out.iterdir()} == RESULTS
     genres = read_table(spark, f"{out}/genre_stats", "parquet")
@@ -70,3 +71,42 @@ def test_all_steps(spark, inputs, budget, records):
     if budget is None:
         assert run_batch(*args) == counters  # a second run replaces the first
         assert read_table(spark, f"{out}/ratings", "parquet").count() == len(valid)
+
+
+@pytest.mark.parametrize("budget", [None, 10**9])
+def test_blank_lines_and_other_files(spark, inputs, budget):
+    """Empty files and files of another kind add nothing; blank lines are rejects."""
+    folder, _ = inputs
+    ratings = folder / "mixed"
+    ratings.mkdir()
+    (ratings / "a.csv").write_text("userId,movieId,rating,timestamp\n1,1,4.0,964980868\n\n  \n2,1,3.0,964980868")
+    (ratings / "empty.csv").write_text("")
+    (ratings / "notes.txt").write_text("a\n3,1,4.0,964980868\n")
+    counters = run_batch(spark, str(ratings), str(folder / "movies"), str(folder / "out"), budget)
+    assert counters == {"total_rows": 4, "valid_rows": 2, "skipped_rows": 2, "skipped_items": 1}
+
+
+def test_line_breaks_in_quoted_fields(spark, inputs):
+    folder, _ = inputs
+    ratings = folder / "quoted"
+    ratings.mkdir()
+    (ratings / "a.csv").write_text('userId,movieId,rating,timestamp\n1,1,"4.0\n",964980868\n2,1,3.0,964980868\n')
+    args = (spark, str(ratings), str(folder / "movies"), str(folder / "out"))
+    assert run_batch(*args, multi_line=True)["total_rows"] == 2
+    assert run_batch(*args)["total_rows"] == 3
+    with pytest.raises(ValueError, match="line ends"):
+        run_batch(*args, budget=5, multi_line=True)
+
+
+def test_ratings_are_scanned_six_times(spark, tmp_path):
+    schema = "userId bigint, movieId bigint, rating double, timestamp bigint"
+    spark.createDataFrame([(1, 1, 4.0, 964980868)], schema).write.parquet(str(tmp_path / "r"))
+    movies = spark.createDataFrame([(1, "A", "War")], "movieId bigint, title string, genres string")
+    results = analyses(spark.read.parquet(str(tmp_path / "r")), movies)
+    scans = 0
+    for df in results.values():
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        scans += sum("FileScan" in line and f"{tmp_path}/r" in line for line in final.splitlines())
+    assert scans + 2 <= 6  # two further scans made the tables of totals

@@ -126,3 +126,11 @@ def test_late_and_null_changes(spark, records):
         [(1, 4, None, "D"), (None, 2, None, "D"), (3, 2, "d", "U"), (6, 1, "e", None)], "k int, version int, v string, op string"
     )
     assert records(incremental.apply_changes(base, changes, ["k"], "version")) == sorted([(1, 5, "a"), (3, 2, "d"), (6, 1, "e")], key=repr)
+
+
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_null_versions_in_either_form(spark, records, kind):
+    rows = [(1, None, "7"), (2, None, "8"), (2, 3, None)]
+    df = spark.createDataFrame(rows, "k int, version int, v string").withColumn("v", F.col("v").cast(kind))
+    latest = incremental.latest_version(df, ["k"], "version").withColumn("v", F.col("v").cast("int"))
+    assert records(latest) == [(1, None, 7), (2, 3, None)]

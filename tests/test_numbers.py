@@ -75,3 +75,8 @@ def test_exact_mean_ignores_row_order(spark):
 def test_exact_mean_of_nothing_is_null(spark):
     df = spark.createDataFrame([], "v double")
     assert df.agg(exact_mean("v", 2)).first()[0] is None
+
+
+def test_means_whose_sums_exceed_64_bits(spark):
+    df = spark.range(4096).selectExpr("double(4503599627370496) as v", "double(-4503599627370496) as w")
+    assert tuple(df.agg(exact_mean("v", 0), exact_mean("w", 0)).first()) == (2.0**52, -(2.0**52))

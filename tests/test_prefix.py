@@ -154,7 +154,25 @@ def test_line_ends_of_two_bytes_count_as_one(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("budget", [8, 9, 10, 11])
+def test_a_last_line_without_newline(spark, tmp_path, budget):
+    path = tmp_path / "open.csv"
+    path.write_text("h\n1\n22\n333")
+    rows = text_file_prefix(spark, str(path), budget).collect()
+    assert [r.line for r in sorted(rows, key=lambda r: r[1:3])] == _file_prefix(path, budget)
+
+
+def test_null_and_repeated_orders_are_errors(spark):
+    df = spark.createDataFrame([(None, "a"), (1, "a")], "id long, text string")
+    with pytest.raises(Exception, match="id is null"):
+        byte_prefix(df, "text", "id", 3)
+    df = spark.createDataFrame([(1, "a")] * 9, "id long, text string")
+    with pytest.raises(ValueError, match="unique"):
+        byte_prefix(df, "text", "id", 3, max_piece_rows=2)
+
+
 def test_file_profile(spark, files):
+    (files / "empty.csv").write_text("")
     rows = {r.file.rsplit("/")[-1]: r for r in file_profile(spark, str(files)).collect()}
     for path in files.iterdir():
         assert rows[path.name].file_bytes == path.stat().st_size

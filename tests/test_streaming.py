@@ -10,6 +10,7 @@ from tidemark.operators.events import parse_ratings
 from tidemark.operators.incremental import latest_version
 from tidemark.operators.stats import windowed_stats
 from tidemark.sinks import BatchWriter, append_parquet, read_batches
+from tidemark.sinks.batches import first_batch
 from tidemark.sources import read_result_table, stream_files
 from tidemark.streaming.job import (
     DRAIN,
@@ -145,6 +146,31 @@ def test_an_empty_batch_adds_nothing(spark, tmp_path, records):
     assert records(read_batches(spark, str(tmp_path / "out"), batch.schema)) == [(1, "a", 0)]
 
 
+def test_an_empty_batch_leaves_no_folder(spark, tmp_path):
+    exported = []
+    writer = BatchWriter(str(tmp_path / "out"), export=exported.append)
+    writer(spark.createDataFrame([], "id long"), 7)
+    assert not exported and not list((tmp_path / "out").glob("batch_id=*"))
+
+
+def test_a_new_checkpoint_adds_to_the_output(spark, inbox, tmp_path, records):
+    """Numbers go on from run to run, and a run keeps its own over restarts."""
+    out, numbers = str(tmp_path / "out"), []
+    stats = rating_stats(inbox.stream(spark))
+    inbox.add(record(10, T))
+    for run, more in (("a", record(20, T)), ("b", record(30, T)), ("a", record(10, T + 1))):
+        inbox.add(more)
+        _drain(stats, BatchWriter(out, exported_to(numbers), export_batch_id=True), tmp_path / run)
+    assert first_batch(spark, str(tmp_path / "a" / "checkpoint")) == min(numbers)
+    rows = read_batches(spark, out, stats.schema)
+    assert rows.select("batch_id").distinct().count() == 3
+    assert {r.movieId for r in _latest(spark, out, stats).collect()} == {10, 20, 30}
+
+
+def exported_to(numbers):
+    return lambda df: numbers.extend(r.batch_id for r in df.select("batch_id").distinct().collect())
+
+
 def test_export_follows_the_files_and_sees_the_same_rows(spark, inbox, tmp_path, records):
     inbox.add(*RECORDS)
     out, exported = str(tmp_path / "out"), []

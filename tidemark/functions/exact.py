@@ -17,10 +17,22 @@ def fixed_point(value: Column | str, scale: int) -> Column:
     return F.rint(value * F.lit(float(10**scale))).cast("bigint")
 
 
+def exact_sum(value: Column | str, scale: int) -> Column:
+    """Sum aggregate in DECIMAL(38, 0) units of ``10**-scale``.
+
+    High and low halves of the units are summed as BIGINT, which 2**31 rows of any size can't exceed;
+    only the two results become decimals. Digits beyond ``scale`` are rounded in each value.
+    """
+    units = fixed_point(value, scale)
+    high = F.sum(F.shiftright(units, 32)).cast("decimal(38,0)")
+    low = F.sum(units.bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(38,0)")
+    return (high * F.lit(2**32).cast("decimal(11,0)") + low).cast("decimal(38,0)")
+
+
 def exact_mean(value: Column | str, scale: int | None = None) -> Column:
     """Mean aggregate: exact for values with ``scale`` decimals, ``avg`` when ``scale`` is None."""
     value = F.col(value) if isinstance(value, str) else value
     if scale is None:
         return F.avg(value)
-    total = F.sum(fixed_point(value, scale)).cast("double")
-    return total / F.nullif(F.count(value) * F.lit(10**scale), F.lit(0))
+    units = F.count(value).cast("double") * F.lit(float(10**scale))
+    return exact_sum(value, scale).cast("double") / F.nullif(units, F.lit(0.0))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import exact_mean, fixed_point
+from tidemark.functions import exact_mean, exact_sum
 from tidemark.operators.stats import key_stats
 
 
@@ -14,9 +14,9 @@ def value_histogram(df: DataFrame, value: str) -> DataFrame:
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    # The total is a one-value subquery over the value column alone; a window
-    # without partitions would pull all distinct values into one task.
-    total = df.select(F.count(value)).scalar()
+    # The total is a one-value subquery over the counts, whose shuffle both share; a
+    # window without partitions would pull all distinct values into one task.
+    total = counts.agg(F.sum("row_count")).scalar()
     return counts.withColumn("share", F.col("row_count") / total)
 
 
@@ -24,8 +24,40 @@ def top_keys(
     df: DataFrame, key: str, value: str, k: int, min_count: int = 1, scale: int | None = None
 ) -> DataFrame:
     """The ``k`` keys with the highest mean among those with enough rows; ties by key."""
-    stats = key_stats(df, key, value, scale).filter(F.col(f"{value}_count") >= min_count)
-    return stats.orderBy(F.desc(f"avg_{value}"), F.asc(key)).limit(k)
+    return top_of_stats(key_stats(df, key, value, scale), key, value, k, min_count)
+
+
+def top_of_stats(stats: DataFrame, key: str, value: str, k: int, min_count: int = 1) -> DataFrame:
+    """:func:`top_keys` from the rows of ``key_stats``."""
+    enough = stats.filter(F.col(f"{value}_count") >= min_count)
+    return enough.orderBy(F.desc(f"avg_{value}"), F.asc(key)).limit(k)
+
+
+def totals(df: DataFrame, key: Column | str, value: str, scale: int | None = None) -> DataFrame:
+    """Per key what its count, mean and range are made of, so that several results share one scan."""
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(value).alias("n_value"),
+        (F.sum(value) if scale is None else exact_sum(value, scale)).alias("total"),
+        F.max(value).alias("highest"),
+        F.min(value).alias("lowest"),
+    )
+
+
+def _mean(total: Column, count: Column, scale: int | None) -> Column:
+    units = count.cast("double") * F.lit(float(10 ** (scale or 0)))
+    return total.cast("double") / F.nullif(units, F.lit(0.0))
+
+
+def stats_of_totals(per_key: DataFrame, key: str, value: str, scale: int | None = None) -> DataFrame:
+    """The rows of ``key_stats`` from :func:`totals`."""
+    return per_key.select(
+        key,
+        F.col("n").alias(f"{value}_count"),
+        _mean(F.col("total"), F.col("n_value"), scale).alias(f"avg_{value}"),
+        F.col("highest").alias(f"max_{value}"),
+        F.col("lowest").alias(f"min_{value}"),
+    )
 
 
 def category_stats(
@@ -44,38 +76,73 @@ def category_stats(
     the sums are additive, so a popular item reaches the join as a single row and
     no fact is repeated for each of its categories.
     """
-    per_item = facts.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(value).alias("n_value"),
-        F.sum(value if scale is None else fixed_point(value, scale)).alias("total"),
-    )
+    per_item = totals(facts, key, value, scale)
+    return category_stats_of_totals(per_item, items, key, categories, separator, scale)
+
+
+def category_stats_of_totals(
+    per_item: DataFrame,
+    items: DataFrame,
+    key: str,
+    categories: str,
+    separator: str = r"\|",
+    scale: int | None = None,
+) -> DataFrame:
+    """:func:`category_stats` from :func:`totals` per item."""
     listed = items.select(
         key, F.explode(F.array_distinct(F.split(categories, separator))).alias("category")
     )
     # No hint: item-sized sides, so Spark broadcasts by measured size or sorts.
-    units = F.nullif(F.sum("n_value") * F.lit(10 ** (scale or 0)), F.lit(0))
     return (
         per_item.join(listed, key)
         .groupBy("category")
         .agg(
             F.sum("n").alias("row_count"),
             F.countDistinct(key).alias("item_count"),
-            (F.sum("total").cast("double") / units).alias("avg_value"),
+            _mean(F.sum("total"), F.sum("n_value"), scale).alias("avg_value"),
         )
     )
 
 
+def hourly_totals(df: DataFrame, ts: str, value: str, scale: int | None = None) -> DataFrame:
+    """:func:`totals` per hour of time, in the column ``ts``: for months, hours of day and the like."""
+    return totals(df, F.date_trunc("hour", ts).cast(df.schema[ts].dataType).alias(ts), value, scale)
+
+
+def _of_totals(per_hour: DataFrame, group: Column, scale: int | None) -> DataFrame:
+    return per_hour.groupBy(group).agg(
+        F.sum("n").alias("row_count"), _mean(F.sum("total"), F.sum("n_value"), scale).alias("avg_value")
+    )
+
+
+def months_of_totals(per_hour: DataFrame, ts: str, scale: int | None = None) -> DataFrame:
+    """:func:`stats_by_month` from :func:`hourly_totals`."""
+    return _of_totals(per_hour, _month(per_hour, ts), scale)
+
+
+def hours_of_totals(per_hour: DataFrame, ts: str, scale: int | None = None) -> DataFrame:
+    """:func:`stats_by_hour` from :func:`hourly_totals`."""
+    return _of_totals(per_hour, _hour(ts), scale)
+
+
+def _month(df: DataFrame, ts: str) -> Column:
+    return F.date_trunc("month", ts).cast(df.schema[ts].dataType).alias("month")
+
+
+def _hour(ts: str) -> Column:
+    return F.hour(ts).cast("bigint").alias("hour")
+
+
 def stats_by_month(df: DataFrame, ts: str, value: str, scale: int | None = None) -> DataFrame:
     """Count and mean of ``value`` per calendar month."""
-    month = F.date_trunc("month", ts).cast(df.schema[ts].dataType)
-    return df.groupBy(month.alias("month")).agg(
+    return df.groupBy(_month(df, ts)).agg(
         F.count(F.lit(1)).alias("row_count"), exact_mean(value, scale).alias("avg_value")
     )
 
 
 def stats_by_hour(df: DataFrame, ts: str, value: str, scale: int | None = None) -> DataFrame:
     """Count and mean of ``value`` per hour of day."""
-    return df.groupBy(F.hour(ts).cast("bigint").alias("hour")).agg(
+    return df.groupBy(_hour(ts)).agg(
         F.count(F.lit(1)).alias("row_count"), exact_mean(value, scale).alias("avg_value")
     )
 

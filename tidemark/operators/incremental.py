@@ -24,12 +24,16 @@ def latest_version(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
     rewritten in every batch does not pile up in one task. Fixed-width columns are
     aggregated by hash: all of them see the rows in the same order, and so come
     from the same row. Others would make that a sort per column, where a ranking
-    that Spark limits to the first row within each task sorts only once.
+    that Spark limits to the first row within each task sorts only once. A null version is older than
+    any other; a key with nothing else keeps one of its rows.
     """
     others = [c for c in df.columns if c not in (*keys, version)]
     if all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in others):
+        # `max_by` passes over rows without a version.
+        unversioned = F.max(version).isNull()
         newest = df.groupBy(*keys).agg(
-            F.max(version).alias(version), *[F.max_by(c, version).alias(c) for c in others]
+            F.max(version).alias(version),
+            *[F.when(unversioned, F.first(c)).otherwise(F.max_by(c, version)).alias(c) for c in others],
         )
         return newest.select(*df.columns)
     by_version = Window.partitionBy(*keys).orderBy(F.desc(version))

@@ -21,6 +21,7 @@ from tidemark.workspace import broadcast_if_small, shared_table
 
 DEFAULT_BUDGET = 300 * 1024 * 1024
 NEWLINE_BYTES = 1
+BYTE_ORDER_MARK_BYTES = 3
 
 
 def line_bytes(text: Column | str) -> Column:
@@ -41,12 +42,13 @@ def byte_prefix(
     """Rows of ``df`` that precede, by the unique column ``order``, the first overflow of ``budget``.
 
     With ``group`` every group has its own budget. ``header_bytes`` counts
-    against the budget beforehand. Without a group the answer is a plain filter
+    against the budget beforehand. A row whose ``order`` is null has no place: it is an error. Without a group the answer is a plain filter
     ``order < bound``, which reaches the scan.
     """
     groups = [group] if group else []
+    place = F.when(F.col(order).isNull(), F.raise_error(F.lit(f"{order} is null"))).otherwise(F.col(order))
     bounds = _overflow(
-        df.select(*groups, order, line_bytes(text).alias("bytes")),
+        df.select(*groups, place.alias(order), line_bytes(text).alias("bytes")),
         groups,
         order,
         max(budget - header_bytes, 0),
@@ -95,6 +97,7 @@ def _overflow(
             F.min("before").alias("base"),
             F.sum("bytes").alias("bytes"),
             F.count(F.lit(1)).alias("row_count"),
+            (F.min(order) < F.max(order)).alias("separable"),
         )
         # At most `pieces` rows plus one per group.
         running = F.col("base") + F.sum("bytes").over(
@@ -104,15 +107,20 @@ def _overflow(
             totals.withColumn("after", running)
             .withColumn("before", F.col("after") - F.col("bytes"))
             .filter((F.col("before") <= budget) & (F.col("after") > budget))
-            .select(*groups, "piece", "before", "row_count")
+            .select(*groups, "piece", "before", "row_count", "separable")
         )
         crossing = broadcast_if_small(crossing, "prefix-pieces")
         frame = _attach(ranged.drop("before"), crossing, [*groups, "piece"], "inner").drop(
-            "piece", "row_count"
+            "piece", "row_count", "separable"
         )
-        largest = crossing.agg(F.max("row_count")).first()[0]
-        if largest is None or largest <= max_rows or largest == rows:
+        too_long = crossing.filter(F.col("row_count") > max_rows)
+        largest, separable = too_long.agg(F.max("row_count"), F.min("separable")).first()
+        if largest is None:
             break
+        if not separable:
+            raise ValueError(f"rows have the same {order}, which has to be unique")
+        if largest == rows:
+            pieces *= 4  # pieces of many groups
         rows = largest
     spent = F.col("before") + F.sum("bytes").over(Window.partitionBy(*groups).orderBy(order))
     beyond = frame.withColumn("spent", spent).filter(F.col("spent") > budget)
@@ -122,33 +130,37 @@ def _overflow(
 
 
 def text_file_prefix(
-    spark: SparkSession, paths: str | list[str], budget: int = DEFAULT_BUDGET
+    spark: SparkSession, paths: str | list[str], budget: int = DEFAULT_BUDGET, glob: str | None = None
 ) -> DataFrame:
     """Leading lines of every text file under ``paths``, each file within ``budget`` bytes.
 
     Gives (file, block, position, line, is_header); lines of a file are in order
     of (block, position). The first line of a file is its header: it is always
-    kept and counts. The scan's own splits are the pieces here, so nothing is
-    shuffled but one total per split. (A compressed file is a single split.)
+    kept and counts. A file that is no larger than ``budget`` is kept whole, also when its last line
+    has no newline. ``glob`` selects files by name. The scan's own splits are the pieces here, so
+    nothing is shuffled but one total per split. (A compressed file is a single split; its lines
+    count as unpacked.)
     """
     # Split bounds may move between two scans, for instance when executors come
     # and go, so lines are scanned once and written down. A line costs at least
     # half of its raw bytes (a bare CR LF counts as one), so what lies behind
-    # twice the budget cannot be part of a prefix and is not kept.
+    # twice the budget and a byte order mark cannot be part of a prefix and is not kept.
+    reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     lines = shared_table(
-        spark.read.text(paths)
+        reader.text(paths)
         .select(
             F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("size"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("position"),
             F.col("value").alias("line"),
             line_bytes("value").alias("bytes"),
         )
-        .filter(F.col("block") <= 2 * budget),
+        .filter(F.col("block") <= 2 * budget + BYTE_ORDER_MARK_BYTES),
         "lines",
     )
     totals = lines.groupBy("file", "block").agg(
-        F.sum("bytes").alias("bytes"), F.min("position").alias("first")
+        F.sum("bytes").alias("bytes"), F.min("position").alias("first"), F.max("size").alias("size")
     )
     after = F.sum("bytes").over(Window.partitionBy("file").orderBy("block"))
     crosses = (F.col("before") <= budget) & (F.col("after") > budget)
@@ -160,7 +172,12 @@ def text_file_prefix(
             F.min_by("first", "block").alias("header"),
             F.max(F.when(crosses, F.col("block"))).alias("cut_block"),
             F.max(F.when(crosses, F.col("before"))).alias("before"),
+            # An overflow by the newline that the last line lacks is none. (Lines of a compressed
+            # file take more than its size.)
+            ((F.max("size") <= budget) & (F.max("after") <= F.max("size") + NEWLINE_BYTES)).alias("fits"),
         )
+        .withColumn("cut_block", F.when(~F.col("fits"), F.col("cut_block")))
+        .drop("fits")
     )
     placed = lines.join(broadcast_if_small(per_file, "lines-per-file"), "file").withColumn(
         "is_header", F.col("position") == F.col("header")

@@ -83,6 +83,7 @@ _ORACLE = {
     "tumbling_stats_1m": _EVENT_STATS,
     "stream_tumbling_stats": _EVENT_STATS,
     "stream_multibatch_latest": _EVENT_STATS,
+    "stream_new_checkpoint": _EVENT_STATS,
     "stream_rating_stats": f"""
 WITH {_RATINGS}
 SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) AS window_start,
@@ -192,6 +193,40 @@ SELECT o_orderkey,
        cast(CASE WHEN o_orderdate >= DATE '1998-01-01' THEN 3
                  WHEN o_orderdate >= DATE '1995-01-01' THEN 2 ELSE 1 END AS bigint) AS version
 FROM orders
+""",
+    "merge_out_of_order": """
+SELECT o_orderkey, o_totalprice + CASE WHEN o_orderdate >= DATE '1996-01-01' THEN 2.0 ELSE 0.0 END AS price,
+       cast(CASE WHEN o_orderdate >= DATE '1996-01-01' THEN 3 ELSE 2 END AS bigint) AS version
+FROM orders
+""",
+    "file_prefix": """
+SELECT source, least(count(*), CASE WHEN count(*) * 33 <= 10000 THEN count(*) ELSE 10000 // 33 END) AS line_count,
+       cast(1 AS bigint) AS header_count
+FROM documents GROUP BY source
+""",
+    "batch_job_counters": f"""
+WITH {_checked(0.5, 5.0, ragged=False)}
+SELECT with_budget, count(*) AS total_rows, count(*) FILTER (reject_reason IS NULL) AS valid_rows,
+       count(*) FILTER (reject_reason IS NOT NULL) AS skipped_rows, cast(0 AS bigint) AS skipped_items
+FROM checked CROSS JOIN (VALUES (true), (false)) AS forms (with_budget) GROUP BY with_budget
+""",
+    "batch_job_results": f"""
+WITH {_checked(0.5, 5.0, ragged=False)},
+valid AS (
+  SELECT tu, tm, tr, make_timestamp(tt * 1000000) AS ts FROM checked WHERE reject_reason IS NULL),
+movies AS (SELECT tm AS key, count(*) AS n, {_mean("tr")} AS measure FROM valid GROUP BY tm)
+SELECT 'movie_stats' AS result, * FROM movies
+UNION ALL
+SELECT * FROM (SELECT 'top_movies', * FROM movies WHERE n >= 2 ORDER BY measure DESC, key LIMIT 5)
+UNION ALL
+SELECT 'rating_histogram', {_cents("tr")}, count(*), cast(count(*) AS double) / (SELECT count(*) FROM valid)
+FROM valid GROUP BY tr
+UNION ALL
+SELECT 'month_stats', year(ts) * 100 + month(ts), count(*), {_mean("tr")} FROM valid GROUP BY 2
+UNION ALL
+SELECT 'hour_stats', hour(ts), count(*), {_mean("tr")} FROM valid GROUP BY 2
+UNION ALL
+SELECT 'user_stats', tu, count(*), {_mean("tr")} FROM valid GROUP BY tu
 """,
     "apply_changes": """
 SELECT o_orderkey,

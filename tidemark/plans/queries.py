@@ -19,7 +19,7 @@ from tidemark.operators.events import (
     parse_ratings,
     range_filter,
 )
-from tidemark.operators.prefix import byte_prefix
+from tidemark.operators.prefix import byte_prefix, text_file_prefix
 from tidemark.operators.profile import file_profile, table_profile
 from tidemark.operators.stats import key_avg, key_stats, windowed_stats
 from tidemark.plans.batch_job import run_batch
@@ -100,6 +100,22 @@ def stream_multibatch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_stats(spark, f"{out}/stats", stats.schema, "event_type")
 
 
+@_register
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with a checkpoint each, one for either half of the time, into the same output."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    # At a full minute, so that no window has rows in both halves.
+    middle = (first + (last - first) / 2).replace(second=0, microsecond=0)
+    early = F.col("ts") < F.lit(middle.isoformat(sep=" ")).cast("timestamp_ntz")
+    out = run_dir(spark, "stream_new_checkpoint")
+    for half, rows in (("early", events.filter(early)), ("late", events.filter(~early))):
+        rows.write.parquet(f"{out}/{half}")
+        stats = _event_stats(stream_files(spark, f"{out}/{half}*", "parquet", events.schema))
+        _drained(stats, BatchWriter(f"{out}/stats"), f"{out}/checkpoint-{half}")
+    return _latest_stats(spark, f"{out}/stats", stats.schema, "event_type")
+
+
 def _land_json(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Ratings as JSON-lines files of records, and the stream over them."""
     messages = encode_events(ratings(table(spark, sf_dir, "events")), "userId", RATING_FIELDS)
@@ -320,6 +336,17 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.merge_upsert(base, delta, ["o_orderkey"], "version")
 
 
+@_register
+def merge_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta that holds replayed old rows, new ones, and new keys."""
+    orders = table(spark, sf_dir, "orders")
+    base = _order_version(orders, 2, None, "1997-01-01", 0.0)
+    delta = _order_version(orders, 1, "1993-01-01", "1995-01-01", 1.0).unionByName(
+        _order_version(orders, 3, "1996-01-01", None, 2.0)
+    )
+    return incremental.merge_upsert(base, delta, ["o_orderkey"], "version")
+
+
 @_register
 def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
@@ -371,6 +398,19 @@ def byte_prefix_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "source", "n_chars")
 
 
+@_register
+def file_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as one text file per source, each cut to a budget; a line is a hash of fixed length."""
+    out = run_dir(spark, "file_prefix")
+    lines = table(spark, sf_dir, "documents").select("source", F.md5(F.coalesce("text", F.lit(""))).alias("line"))
+    lines.repartition("source").write.partitionBy("source").text(out)
+    source = F.regexp_extract("file", "/source=([^/]+)/", 1)
+    kept = text_file_prefix(spark, f"{out}/source=*", budget=10_000, glob="part-*")
+    return kept.groupBy(source.alias("source")).agg(
+        F.count(F.lit(1)).alias("line_count"), F.count_if("is_header").alias("header_count")
+    )
+
+
 @_register
 def table_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_profile(table(spark, sf_dir, "documents"), "source", "text")
@@ -428,14 +468,60 @@ def publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_register
-def batch_job_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch job on events as a ratings file and parts as items; gives its category result."""
-    out = run_dir(spark, "batch_job_genres")
+def _batch_inputs(spark: SparkSession, sf_dir: str, out: str) -> tuple[str, str]:
+    """Events as ratings files and parts as item files."""
     write_csv(rating_texts(table(spark, sf_dir, "events")), f"{out}/ratings")
     movies = table(spark, sf_dir, "part").select(
         "p_partkey", "p_type", F.translate("p_name", " ", "|").alias("genres")
     )
     write_csv(movies, f"{out}/movies")
-    run_batch(spark, f"{out}/ratings", f"{out}/movies", f"{out}/results", scale=2)
+    return f"{out}/ratings", f"{out}/movies"
+
+
+@_register
+def batch_job_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job on events as ratings and parts as items; gives its category result."""
+    out = run_dir(spark, "batch_job_genres")
+    run_batch(spark, *_batch_inputs(spark, sf_dir, out), f"{out}/results", scale=2)
     return read_table(spark, f"{out}/results/genre_stats", "parquet")
+
+
+@_register
+def batch_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other six results of the batch job, each as (key, rows, mean or share)."""
+    out = run_dir(spark, "batch_job_results")
+    inputs = _batch_inputs(spark, sf_dir, out)
+    run_batch(spark, *inputs, f"{out}/results", scale=2, top=5, min_count=2)
+    cents = F.rint(F.col("rating") * 100)
+    month = F.year("month") * 100 + F.month("month")
+    parts = {
+        "movie_stats": (F.col("movieId"), "rating_count", "avg_rating"),
+        "top_movies": (F.col("movieId"), "rating_count", "avg_rating"),
+        "rating_histogram": (cents, "row_count", "share"),
+        "month_stats": (month, "row_count", "avg_value"),
+        "hour_stats": (F.col("hour"), "row_count", "avg_value"),
+        "user_stats": (F.col("userId"), "row_count", "avg_value"),
+    }
+    results = None
+    for name, (key, n, measure) in parts.items():
+        rows = read_table(spark, f"{out}/results/{name}", "parquet").select(
+            F.lit(name).alias("result"), key.cast("bigint").alias("key"), F.col(n).alias("n"), F.col(measure).alias("measure")
+        )
+        results = rows if results is None else results.unionByName(rows)
+    return results
+
+
+@_register
+def batch_job_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batch job counts without a budget and with one above the size of the files."""
+    out = run_dir(spark, "batch_job_counters")
+    inputs = _batch_inputs(spark, sf_dir, out)
+    counted = None
+    for budget in (None, 1 << 50):
+        counters = run_batch(spark, *inputs, f"{out}/results", budget=budget, scale=2)
+        row = spark.range(1).select(
+            F.lit(budget is not None).alias("with_budget"),
+            *[F.lit(n).cast("bigint").alias(name) for name, n in counters.items()],
+        )
+        counted = row if counted is None else counted.unionByName(row)
+    return counted

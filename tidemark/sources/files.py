@@ -49,14 +49,18 @@ def read_csv_text(
     path: str | list[str],
     columns: Sequence[str] = RATING_COLUMNS,
     multi_line: bool = False,
+    blank_lines: bool = False,
 ) -> DataFrame:
     """CSV files or directories of ``*.csv`` as text columns, with ``_corrupt_record`` and ``file_name``.
 
     Nothing is typed or dropped here, so that the cleaner can count what it
-    rejects. Blank lines are the exception: Spark's reader does not see them.
-    ``multi_line`` allows line breaks in quoted fields, at the price of one task per file.
+    rejects. Blank lines are the exception, as Spark's reader does not see them: ``blank_lines`` adds
+    them, from a second scan, as rows without fields. ``multi_line`` allows line breaks in quoted
+    fields, at the price of one task per file; blank lines are not told apart from such fields there.
     """
-    return (
+    if multi_line and blank_lines:
+        raise ValueError("blank lines can't be counted where fields may have line breaks")
+    rows = (
         spark.read.schema(text_schema(columns))
         .options(**CSV_OPTIONS)
         .option("multiLine", multi_line)
@@ -64,6 +68,15 @@ def read_csv_text(
         .csv(path)
         .withColumn("file_name", F.col("_metadata.file_name"))
     )
+    if not blank_lines:
+        return rows
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
+    blank = lines.filter(~F.col("value").rlike("[^\\x00-\\x20]")).select(
+        *[F.lit(None).cast("string").alias(c) for c in columns],
+        F.col("value").alias(CORRUPT),
+        F.col("_metadata.file_name").alias("file_name"),
+    )
+    return rows.unionByName(blank)
 
 
 def csv_lines(

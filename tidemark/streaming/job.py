@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.events import decode_payload, parse_ratings
 from tidemark.operators.stats import windowed_stats
-from tidemark.sinks.batches import BatchWriter
+from tidemark.sinks.batches import BatchWriter, first_batch
 from tidemark.sinks.jdbc import jdbc_properties, write_jdbc
 from tidemark.sources.kafka import kafka_stream
 from tidemark.streaming.config import StreamConfig
@@ -34,7 +35,13 @@ def start_batches(
     trigger: dict | None = None,
     output_mode: str = "update",
 ) -> StreamingQuery:
-    """Feed each micro-batch to ``writer``. Progress and state live in ``checkpoint``."""
+    """Feed each micro-batch to ``writer``. Progress and state live in ``checkpoint``.
+
+    So does the number of its first batch, unless the writer has one: a stream with a new checkpoint
+    adds to the output of earlier ones.
+    """
+    if writer.first is None:
+        writer = replace(writer, first=first_batch(df.sparkSession, checkpoint))
     return (
         df.writeStream.outputMode(output_mode)
         .foreachBatch(writer)
@@ -83,6 +90,7 @@ def start_realtime_stats(spark: SparkSession, config: StreamConfig) -> Streaming
     """The whole job: Kafka ratings to Parquet batches and, if enabled, to the database.
 
     Unless a path is set, progress is kept beside the output, so a restart goes on where it was.
+    Rows in the database carry their ``batch_id``: the highest of a window and key is the newest.
     """
     messages = kafka_stream(spark, config.kafka_servers, config.kafka_topic)
     export = None
@@ -94,6 +102,5 @@ def start_realtime_stats(spark: SparkSession, config: StreamConfig) -> Streaming
             properties=jdbc_properties(config.jdbc_user, config.jdbc_password),
         )
     checkpoint = config.checkpoint_path or f"{config.output_path.rstrip('/')}_checkpoint"
-    return start_batches(
-        rating_stats(decode_payload(messages)), BatchWriter(config.output_path, export), checkpoint
-    )
+    writer = BatchWriter(config.output_path, export, export_batch_id=True)
+    return start_batches(rating_stats(decode_payload(messages)), writer, checkpoint)
