@@ -42,10 +42,19 @@ BEGINNINGS, LEVELS = range(4, 9), (1, 2, 4)
 LEAST_RATIO, LEAST_TEXTS = 30.0, 5
 MEMO_WORDS, COUNTED_WORDS = 200_000, 300_000
 MARKS = re.compile(r"[\W_]+")
+ASCII_MARKS = bytes(c for c in range(128) if not chr(c).isalnum() and not chr(c).isspace())
 
 
-def plain(word: str) -> str:
-    return MARKS.sub("", word.lower())
+def words_of(text: str | None) -> Counter:
+    """How often each word occurs, without punctuation and in lower case."""
+    text = (text or "").lower()
+    words = Counter(text.encode().translate(None, ASCII_MARKS).decode().split())
+    if not text.isascii():
+        for word in [w for w in words if not w.isalnum()]:
+            n = words.pop(word)
+            if word := MARKS.sub("", word):
+                words[word] += n
+    return words
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -54,9 +63,8 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def features_of(word: str) -> list[str]:
-    """A word and its beginnings, without punctuation and in lower case."""
-    word = plain(word)
-    return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)] if word else []
+    """A word and its beginnings."""
+    return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)]
 
 
 def terms_of(counts: dict[str, int]) -> Iterator[str]:
@@ -77,23 +85,16 @@ class Vectors:
         for number, name in enumerate(names):
             feature, level = name.rsplit(" ", 1)
             self.levels.setdefault(feature, []).append((int(level), number))
-        self.memo: dict[str, list[str]] = {}
+        # No feature of a word with another start is in the vocabulary.
+        self.starts = {feature.removeprefix("^")[: BEGINNINGS[0]] for feature in self.levels}
 
     def terms(self, text: str | None) -> tuple[int, ...]:
-        words = (text or "").split()
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        distinct = set(words)
-        for word in distinct.difference(memo):
-            memo[word] = [f for f in features_of(word) if f in self.levels]
-        own = {w for w in distinct if memo[w]}
-        if not own:
-            return ()
         found: Counter = Counter()
-        for word in words:
-            if word in own:
-                found.update(memo[word])
+        for word, n in words_of(text).items():
+            if word[: BEGINNINGS[0]] in self.starts:
+                for feature in features_of(word):
+                    if feature in self.levels:
+                        found[feature] += n
         return tuple(sorted(number for f, n in found.items() for level, number in self.levels[f] if n >= level))
 
     def unit(self, terms: tuple[int, ...]) -> dict[int, float]:
@@ -152,7 +153,7 @@ def word_ratios(labelled: DataFrame) -> DataFrame:
         for batch in slices(batches):
             for value, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts: dict[str, int] = {}
-                for word, n in Counter((value or "").split()).items():
+                for word, n in words_of(value).items():
                     if word not in memo:
                         memo[word] = features_of(word)
                     for feature in memo[word]:
