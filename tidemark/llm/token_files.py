@@ -41,6 +41,8 @@ def bits_for(vocabulary_size: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """``ids`` in ``bits`` bits each, least significant bit first."""
+    if bits == 16 and (not len(ids) or int(ids.max()) >> bits == 0):
+        return ids.astype("<u2").tobytes()
     planes = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     if planes[:, bits:].any():
         raise ValueError(f"an id needs more than {bits} bits")
@@ -48,6 +50,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 
 def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
+    if bits == 16:
+        return np.frombuffer(data, "<u2", count).astype("<u4")
     planes = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little")
     wide = np.zeros((count, 32), np.uint8)
     wide[:, :bits] = planes.reshape(count, bits)
@@ -160,61 +164,81 @@ class WordwiseTokenizer:
         self.spaced = np.zeros(self.size, bool)
         for name, token in self.tokenizer.get_vocab().items():
             self.spaced[token] = name.startswith("Ġ")
-        self.memo: dict[str, bytes | None] = {}
+        #: Ids of words after a space and of lines' beginnings with their line break; words that need their whole text.
+        self.memo: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}
+        self.odd: set[str] = set()
         self.marks = {mark: self._ids(mark).tobytes() for mark in ",."}
+        self.breaks = self._ids("\n")
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _together(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, memo: dict[str, bytes]) -> None:
+        """Note the ids of pieces that were encoded in one call, if each has just one start."""
+        if len(starts) == len(pieces):
+            cuts = [*(4 * starts).tolist(), 4 * len(ids)]
+            data = ids.tobytes()
+            for piece, a, b in zip(pieces, cuts, cuts[1:]):
+                memo[piece] = data[a:b]
 
     def _learn(self, words: set[str]) -> None:
         """Encode new words after a space, all in one call.
 
-        A comma or full stop after letters is a token of its own. A word with white space at an end is not one
-        that nothing else changes; it gets no ids.
+        A comma or full stop after letters is a token of its own, and so is a single line break between other
+        characters: a word with line breaks has the ids of its first piece and of each later one with its break. Words with
+        white space at an end, or with other white space, are odd: what stands around changes their ids.
         """
-        marked = {w for w in words if w[-1:] in (",", ".") and w[:-1].isalpha()}
-        words = words.difference(marked).union(w[:-1] for w in marked).difference(self.memo)
-        plain = [w for w in words if len(w.split()) == 1 and not w[0].isspace() and not w[-1].isspace()]
+        broken = {w: w.split("\n") for w in words if "\n" in w and len(self.breaks) == 1}
+        broken = {w: pieces for w, pieces in broken.items() if all(p.split() == [p] for p in pieces)}
+        parts = words.difference(broken).union(pieces[0] for pieces in broken.values())
+        marked = {w for w in parts if w[-1:] in (",", ".") and w[:-1].isalpha()}
+        parts = parts.difference(marked).union(w[:-1] for w in marked).difference(self.memo)
+        plain = [w for w in parts if w.split() == [w]]
         if plain:
             ids = self._ids(" " + " ".join(plain))
-            starts = np.flatnonzero(self.spaced[ids])
-            if len(starts) == len(plain):
-                cuts = [*(4 * starts).tolist(), 4 * len(ids)]
-                data = ids.tobytes()
-                for word, a, b in zip(plain, cuts, cuts[1:]):
-                    self.memo[word] = data[a:b]
-        for word in words.difference(self.memo):
-            free = word and not word[0].isspace() and not word[-1].isspace()
-            self.memo[word] = self._ids(" " + word).tobytes() if free else None
+            self._together(plain, ids, np.flatnonzero(self.spaced[ids]), self.memo)
+        for word in parts.difference(self.memo):
+            if word and not word[0].isspace() and not word[-1].isspace():
+                self.memo[word] = self._ids(" " + word).tobytes()
+            else:
+                self.odd.add(word)
         for word in marked:
             self.memo[word] = self.memo[word[:-1]] + self.marks[word[-1]]
-
-    def _text(self, text: str | None, words: list[str] | None) -> np.ndarray:
-        if words:
-            try:
-                found = b"".join(map(self.memo.__getitem__, words[1:]))
-            except TypeError:  # a word without ids: white space beside a space
-                pass
+        later = list({p for pieces in broken.values() for p in pieces[1:]}.difference(self.lines))
+        if later:
+            ids = self._ids("\n" + "\n".join(later))
+            self._together(later, ids, np.flatnonzero(ids == self.breaks[0]), self.lines)
+        for word, pieces in broken.items():
+            if all(p in self.lines for p in pieces[1:]):
+                self.memo[word] = b"".join([self.memo[pieces[0]], *map(self.lines.__getitem__, pieces[1:])])
             else:
-                first = words[0]
-                if first and not first[-1].isspace():
-                    return np.frombuffer(self._ids(first).tobytes() + found, "<u4")
+                self.memo[word] = self._ids(" " + word).tobytes()
+
+    def _text(self, text: str | None, words: list[str] | None, found: list[bytes | None], gaps: list[int]) -> np.ndarray:
+        if words and words[0] and not words[0][-1].isspace():
+            for k in gaps:
+                found[k] = self.memo.get(words[k + 1])
+            if not gaps or None not in found:
+                return np.frombuffer(self._ids(words[0]).tobytes() + b"".join(found), "<u4")
         return self._ids(text or "")
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.memo) >= MEMO_WORDS:
-            self.memo.clear()
-        split, missing = [], set()
+        if len(self.memo) + len(self.lines) + len(self.odd) >= MEMO_WORDS:
+            for known in (self.memo, self.lines, self.odd):
+                known.clear()
+        known, split, missing = self.memo.get, [], set()
         for text in texts:
             whole = not text or (self.special is not None and self.special.search(text))
             words = None if whole else text.split(" ")
-            split.append(words)
-            if words:
-                missing.update(words[1:])
-        missing.difference_update(self.memo)
+            found = list(map(known, words[1:])) if words else []
+            gaps = [k for k, ids in enumerate(found) if ids is None] if None in found else []
+            missing.update(words[k + 1] for k in gaps)
+            split.append((words, found, gaps))
+        missing.difference_update(self.odd)
         if missing:
             self._learn(missing)
-        return [self._text(text, words) for text, words in zip(texts, split)]
+        return [self._text(text, *parts) for text, parts in zip(texts, split)]
 
 
 @lru_cache(maxsize=2)
