@@ -21,8 +21,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,21 +38,20 @@ VOCABULARY, MAX_EXAMPLES, NEIGHBOURS, PRIOR = 1024, 6000, 15, 0.05
 BEGINNINGS, LEVELS = range(4, 9), (1, 2, 4)
 #: Least likelihood ratio (natural units, times two) and texts of label 1 for a word of the vocabulary.
 LEAST_RATIO, LEAST_TEXTS = 30.0, 5
-MEMO_WORDS, COUNTED_WORDS = 200_000, 300_000
+MEMO_WORDS, COUNTED_FEATURES = 200_000, 400_000
 MARKS = re.compile(r"[\W_]+")
 ASCII_MARKS = bytes(c for c in range(128) if not chr(c).isalnum() and not chr(c).isspace())
 
 
-def words_of(text: str | None) -> Counter:
-    """How often each word occurs, without punctuation and in lower case."""
-    text = (text or "").lower()
-    words = Counter(text.encode().translate(None, ASCII_MARKS).decode().split())
-    if not text.isascii():
-        for word in [w for w in words if not w.isalnum()]:
-            n = words.pop(word)
-            if word := MARKS.sub("", word):
-                words[word] += n
-    return words
+def tokens_of(text: str | None) -> list[bytes]:
+    """Pieces between white space in lower case, without ASCII punctuation; ``words_in`` tells their words."""
+    return (text or "").lower().encode().translate(None, ASCII_MARKS).split()
+
+
+def words_in(token: bytes) -> list[str]:
+    """The words of a piece: other white space splits it too, and all punctuation goes."""
+    text = token.decode()
+    return [text] if text.isalnum() else [w for w in (MARKS.sub("", part) for part in text.split()) if w]
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -67,12 +64,20 @@ def features_of(word: str) -> list[str]:
     return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)]
 
 
-def terms_of(counts: dict[str, int]) -> Iterator[str]:
-    """The terms for features' frequencies: one for each level reached."""
-    for feature, n in counts.items():
-        for level in LEVELS:
-            if n >= level:
-                yield f"{feature} {level}"
+class FeatureIds(dict):
+    """For each piece of text the ids of its words' features, four bytes each; a piece is worked out when first met."""
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
+
+    def __missing__(self, token: bytes) -> bytes:
+        found = np.array([n for word in words_in(token) for n in self.ids_of(word)], "<i4").tobytes()
+        self[token] = found
+        return found
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The ids of all features of a text, in the order of its words."""
+        return np.frombuffer(b"".join(map(self.__getitem__, tokens_of(text))), "<i4")
 
 
 class Vectors:
@@ -81,21 +86,26 @@ class Vectors:
     def __init__(self, idf: dict[str, float]):
         names = sorted(idf)
         self.idf = [idf[w] for w in names]
-        self.levels: dict[str, list[tuple[int, int]]] = {}
+        features: dict[str, int] = {}
+        #: For each term its feature, and the frequency from which it has the term.
+        self.feature = np.zeros(len(names), np.int64)
+        self.level = np.zeros(len(names), np.int64)
         for number, name in enumerate(names):
             feature, level = name.rsplit(" ", 1)
-            self.levels.setdefault(feature, []).append((int(level), number))
+            self.feature[number] = features.setdefault(feature, len(features))
+            self.level[number] = int(level)
         # No feature of a word with another start is in the vocabulary.
-        self.starts = {feature.removeprefix("^")[: BEGINNINGS[0]] for feature in self.levels}
+        starts = {feature.removeprefix("^")[: BEGINNINGS[0]] for feature in features}
+        self.known = FeatureIds(lambda word: [features[f] for f in features_of(word) if f in features] if word[: BEGINNINGS[0]] in starts else ())
 
     def terms(self, text: str | None) -> tuple[int, ...]:
-        found: Counter = Counter()
-        for word, n in words_of(text).items():
-            if word[: BEGINNINGS[0]] in self.starts:
-                for feature in features_of(word):
-                    if feature in self.levels:
-                        found[feature] += n
-        return tuple(sorted(number for f, n in found.items() for level, number in self.levels[f] if n >= level))
+        if len(self.known) > MEMO_WORDS:
+            self.known.clear()
+        found = self.known.of(text)
+        if not len(found):
+            return ()
+        counts = np.bincount(found, minlength=len(self.idf))
+        return tuple(np.flatnonzero(counts[self.feature] >= self.level).tolist())
 
     def unit(self, terms: tuple[int, ...]) -> dict[int, float]:
         size = math.sqrt(sum(self.idf[t] ** 2 for t in terms))
@@ -144,31 +154,36 @@ def word_ratios(labelled: DataFrame) -> DataFrame:
     """``term``, ``n0``, ``n1``: distinct texts of either label with each term, over all of ``labelled`` (``key``, ``value``, ``label``)."""
 
     def counted(batches):
-        seen: dict[str, list[int]] = {}
-        memo: dict[str, list[str]] = {}
+        features: dict[str, int] = {}
+
+        def ids_of(word: str) -> list[int]:
+            return [features.setdefault(f, len(features)) for f in features_of(word)]
+
+        known = FeatureIds(ids_of)
+        texts = np.zeros((len(LEVELS), 2, 0), np.int64)  # of each level, label and feature
 
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([n[0] for n in seen.values()], pa.int64()), pa.array([n[1] for n in seen.values()], pa.int64())], ["term", "n0", "n1"])
+            names = list(features)
+            for place, level in enumerate(LEVELS):
+                used = np.flatnonzero(texts[place, :, : len(names)].any(axis=0))
+                terms = pa.array([f"{names[n]} {level}" for n in used.tolist()], pa.string())
+                yield pa.RecordBatch.from_arrays([terms, pa.array(texts[place, 0, used]), pa.array(texts[place, 1, used])], ["term", "n0", "n1"])
 
         for batch in slices(batches):
             for value, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts: dict[str, int] = {}
-                for word, n in words_of(value).items():
-                    if word not in memo:
-                        memo[word] = features_of(word)
-                    for feature in memo[word]:
-                        counts[feature] = counts.get(feature, 0) + n
-                for term in terms_of(counts):
-                    if term in seen:
-                        seen[term][label] += 1
-                    else:
-                        seen[term] = [1 - label, label]
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-            if len(seen) > COUNTED_WORDS:
-                yield rows()
-                seen.clear()
-        yield rows()
+                found, counts = np.unique(known.of(value), return_counts=True)
+                if len(features) > texts.shape[2]:
+                    texts = np.concatenate([texts, np.zeros((len(LEVELS), 2, 2 * len(features) - texts.shape[2]), np.int64)], axis=2)
+                for place, level in enumerate(LEVELS):
+                    texts[place, label, found[counts >= level]] += 1
+            if len(features) > COUNTED_FEATURES:
+                yield from rows()
+                features.clear()
+                known.clear()
+                texts[:] = 0
+            elif len(known) > 2 * MEMO_WORDS:
+                known.clear()
+        yield from rows()
 
     # The copies are told apart by narrow rows; the texts themselves are not shuffled.
     first = labelled.groupBy(F.sha2("value", 256), "label").agg(F.min("key").alias("key")).select("key", "label").distinct()
