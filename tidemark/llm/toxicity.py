@@ -1,27 +1,30 @@
 """Toxicity by the nearest labelled examples.
 
-1. Terms are words and beginnings of words, each at several levels of its frequency in the text (once, twice, four times or
-   more), so a frequency is told by terms. In how many labelled texts of either label each term occurs is counted over
-   all training rows; copies of a text count once. The terms that speak most for label 1 (by the likelihood
-   ratio) are the vocabulary, at most ``vocabulary`` of them.
-2. A text's vector has the idf of each vocabulary term of the whole text, at length 1. A bounded sample of labelled
-   examples with a vector (``max_examples``, by a hash of the identifier) is the index: the terms'
-   impacts in blocks of examples, with block maxima. Examples with like terms are neighbours in it, which makes the maxima tight.
-3. The ``neighbours`` examples of greatest cosine are found exactly: blocks are scored in the order of their bounds, as far as these can reach the best. They vote with the square of
-   the cosine as weight, beside a prior vote of weight ``prior``; so far examples count little.
-4. Votes become probabilities by isotonic regression on the votes that the examples get from the others. A text without
-   any of the words gets the rate of label 1 among training texts without them.
-
-Defined cases: null, empty and other texts without words score like all texts without vocabulary words; null labels and
-null identifiers are not learned from; repeated labels of one document count each; repeated rows give repeated rows; without labels
-of both kinds every score is the rate of label 1 (0 if there are none); other columns are carried along.
+1. Terms are all words of the whole text and beginnings of words, known by 64-bit digests. In how many labelled texts
+   of either label each term occurs is counted over all training rows; copies of a text count once.
+2. A text's vector has ``(1 + log tf) * idf * relevance`` for each of its terms, at length 1 over all of them, those that no
+   example has included. The idf is that of the indexed examples. The relevance goes from ``BASE`` for terms that do not
+   speak for label 1 to ``1 + BASE``, by the likelihood ratio of the counts without any floor, so every term counts.
+3. A bounded sample of labelled examples (``max_examples``, by a hash of the identifier) is the index: all their terms in
+   sparse inverted lists with block maxima. Examples with like terms are neighbours in it, which makes the maxima tight.
+4. The ``neighbours`` examples of greatest cosine are found exactly: blocks are scored in the order of their bounds, as far
+   as these can reach the best. They vote with the square of the cosine as weight, beside a prior vote of weight ``prior``;
+   so far examples count little.
+5. Votes become probabilities by isotonic regression on the votes that the examples get from the others. A text without
+   words gets the rate of label 1 among training texts without words.
+
+Defined cases: null and empty texts are texts without words; a text that shares no term with an example gets the rate of
+label 1; null labels and null identifiers are not learned from; repeated labels of one document count each; repeated rows
+give repeated rows; without labels of both kinds every score is the rate of label 1 (0 if there are none); other columns
+are carried along.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +36,12 @@ from tidemark.llm.tasks import map_batches, slices
 from tidemark.llm.wand import BlockMaxMatrix
 from tidemark.workspace import broadcast_if_small, shared_table
 
-VOCABULARY, MAX_EXAMPLES, NEIGHBOURS, PRIOR = 1024, 6000, 15, 0.05
-#: Lengths of the beginnings of words, and the frequencies from which a term has another level.
-BEGINNINGS, LEVELS = range(4, 9), (1, 2, 4)
-#: Least likelihood ratio (natural units, times two) and texts of label 1 for a word of the vocabulary.
-LEAST_RATIO, LEAST_TEXTS = 30.0, 5
-MEMO_WORDS, COUNTED_FEATURES = 200_000, 400_000
+MAX_EXAMPLES, NEIGHBOURS, PRIOR = 6000, 15, 0.05
+#: Lengths of the beginnings of words.
+BEGINNINGS = range(4, 9)
+#: Weight of terms that do not speak for label 1, and the likelihood ratio (natural units, times two) of half the weight above it.
+BASE, HALF_RATIO = 0.03, 17.3
+MEMO_WORDS, COUNTED_TEXTS = 200_000, 1024
 MARKS = re.compile(r"[\W_]+")
 ASCII_MARKS = bytes(c for c in range(128) if not chr(c).isalnum() and not chr(c).isspace())
 
@@ -65,65 +68,49 @@ def features_of(word: str) -> list[str]:
 
 
 class FeatureIds(dict):
-    """For each piece of text the ids of its words' features, four bytes each; a piece is worked out when first met."""
-
-    def __init__(self, ids_of):
-        self.ids_of = ids_of
+    """For each piece of text the digests of its words' features, eight bytes each; a piece is worked out when first met."""
 
     def __missing__(self, token: bytes) -> bytes:
-        found = np.array([n for word in words_in(token) for n in self.ids_of(word)], "<i4").tobytes()
+        found = b"".join(hashlib.blake2b(f.encode(), digest_size=8).digest() for word in words_in(token) for f in features_of(word))
         self[token] = found
         return found
 
-    def of(self, text: str | None) -> np.ndarray:
-        """The ids of all features of a text, in the order of its words."""
-        return np.frombuffer(b"".join(map(self.__getitem__, tokens_of(text))), "<i4")
-
-
-class Vectors:
-    """Vocabulary terms of texts, and their vectors."""
-
-    def __init__(self, idf: dict[str, float]):
-        names = sorted(idf)
-        self.idf = [idf[w] for w in names]
-        features: dict[str, int] = {}
-        #: For each term its feature, and the frequency from which it has the term.
-        self.feature = np.zeros(len(names), np.int64)
-        self.level = np.zeros(len(names), np.int64)
-        for number, name in enumerate(names):
-            feature, level = name.rsplit(" ", 1)
-            self.feature[number] = features.setdefault(feature, len(features))
-            self.level[number] = int(level)
-        # No feature of a word with another start is in the vocabulary.
-        starts = {feature.removeprefix("^")[: BEGINNINGS[0]] for feature in features}
-        self.known = FeatureIds(lambda word: [features[f] for f in features_of(word) if f in features] if word[: BEGINNINGS[0]] in starts else ())
-
-    def terms(self, text: str | None) -> tuple[int, ...]:
-        if len(self.known) > MEMO_WORDS:
-            self.known.clear()
-        found = self.known.of(text)
-        if not len(found):
-            return ()
-        counts = np.bincount(found, minlength=len(self.idf))
-        return tuple(np.flatnonzero(counts[self.feature] >= self.level).tolist())
-
-    def unit(self, terms: tuple[int, ...]) -> dict[int, float]:
-        size = math.sqrt(sum(self.idf[t] ** 2 for t in terms))
-        return {t: self.idf[t] / size for t in terms}
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a whole text, ascending, and how often each occurs."""
+        if len(self) > MEMO_WORDS:
+            self.clear()
+        return np.unique(np.frombuffer(b"".join(map(self.__getitem__, tokens_of(text))), "<i8"), return_counts=True)
 
 
 @dataclass
 class ToxicityModel:
-    idf: dict[str, float]
-    examples: list[tuple[int, int, tuple]]  # id, label, terms
+    terms: np.ndarray  # the examples' terms, ascending
+    weights: np.ndarray  # idf and relevance of each
+    other: float  # the same of a term that no example has
+    examples: list[tuple[int, int]]  # id, label
+    places: list[np.ndarray]  # places of the terms of each example
+    counts: list[np.ndarray]  # how often each occurs
     empty_rate: float
     rate: float
     steps: list[tuple[float, float]]  # votes and probabilities, both ascending
 
-    def index(self) -> tuple[Vectors, BlockMaxMatrix]:
-        vectors = Vectors(self.idf)
-        postings = [(n, t, x) for n, (_, _, terms) in enumerate(self.examples) for t, x in vectors.unit(terms).items()]
-        return vectors, BlockMaxMatrix(postings, len(vectors.idf), len(self.examples))
+    @cached_property
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Those of the examples. They and the index are made in each worker: only the counts are sent there."""
+        return [self.vector(self.terms[p], c) for p, c in zip(self.places, self.counts)]
+
+    @cached_property
+    def index(self) -> BlockMaxMatrix:
+        owner = np.repeat(np.arange(len(self.places)), [len(p) for p in self.places])
+        return BlockMaxMatrix((owner, *(np.concatenate([v[k] for v in self.vectors]) for k in (0, 1))), len(self.terms), len(self.places), block=128)
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values of the terms that the index has; the length goes over all terms."""
+        places = np.searchsorted(self.terms, terms)
+        places[places == len(self.terms)] = 0
+        known = self.terms[places] == terms
+        values = (1 + np.log(counts.astype(float))) * np.where(known, self.weights[places], self.other)
+        return places[known], values[known] / np.sqrt(values @ values)
 
     def vote(self, near: list[tuple[int, float]], prior: float) -> float:
         weights = [(cosine * cosine, self.examples[n][1]) for n, cosine in near]
@@ -154,88 +141,104 @@ def word_ratios(labelled: DataFrame) -> DataFrame:
     """``term``, ``n0``, ``n1``: distinct texts of either label with each term, over all of ``labelled`` (``key``, ``value``, ``label``)."""
 
     def counted(batches):
-        features: dict[str, int] = {}
+        known = FeatureIds()
+        for batch in slices(batches, COUNTED_TEXTS):
+            found = [known.of(t)[0] for t in batch.column(0).to_pylist()]
+            labels = np.repeat(batch.column(1).to_numpy(), [len(f) for f in found])
+            terms, place = np.unique(np.concatenate(found), return_inverse=True)
+            ones = np.bincount(place, labels, len(terms)).astype(np.int64)
+            every = np.bincount(place, minlength=len(terms)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(every - ones), pa.array(ones)], ["term", "n0", "n1"])
 
-        def ids_of(word: str) -> list[int]:
-            return [features.setdefault(f, len(features)) for f in features_of(word)]
+    # The copies are told apart by narrow rows; the texts themselves are not shuffled.
+    first = labelled.groupBy(F.sha2("value", 256), "label").agg(F.min("key").alias("key")).select("key", "label").distinct()
+    once = labelled.join(broadcast_if_small(first, "first-texts"), ["key", "label"], "left_semi").select("value", "label")
+    return map_batches(once, counted, "term bigint, n0 bigint, n1 bigint").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-        known = FeatureIds(ids_of)
-        texts = np.zeros((len(LEVELS), 2, 0), np.int64)  # of each level, label and feature
 
-        def rows():
-            names = list(features)
-            for place, level in enumerate(LEVELS):
-                used = np.flatnonzero(texts[place, :, : len(names)].any(axis=0))
-                terms = pa.array([f"{names[n]} {level}" for n in used.tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([terms, pa.array(texts[place, 0, used]), pa.array(texts[place, 1, used])], ["term", "n0", "n1"])
+def relevance(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """What terms in ``a`` of ``n1`` texts of label 1 and ``b`` of ``n0`` others say for label 1: from 0 to 1, without a floor."""
 
-        for batch in slices(batches):
-            for value, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, counts = np.unique(known.of(value), return_counts=True)
-                if len(features) > texts.shape[2]:
-                    texts = np.concatenate([texts, np.zeros((len(LEVELS), 2, 2 * len(features) - texts.shape[2]), np.int64)], axis=2)
-                for place, level in enumerate(LEVELS):
-                    texts[place, label, found[counts >= level]] += 1
-            if len(features) > COUNTED_FEATURES:
-                yield from rows()
-                features.clear()
-                known.clear()
-                texts[:] = 0
-            elif len(known) > 2 * MEMO_WORDS:
-                known.clear()
-        yield from rows()
+    def part(seen, of, share):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(of * share, 1e-9)), 0.0)
 
-    # The copies are told apart by narrow rows; the texts themselves are not shuffled.
-    first = labelled.groupBy(F.sha2("value", 256), "label").agg(F.min("key").alias("key")).select("key", "label").distinct()
-    once = labelled.join(broadcast_if_small(first, "first-texts"), ["key", "label"], "left_semi").select("value", "label")
-    return map_batches(once, counted, "term string, n0 bigint, n1 bigint").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    share = (a + b) / (n0 + n1)
+    ratio = 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share))
+    return np.where(a * n0 > b * n1, ratio**2 / (ratio**2 + HALF_RATIO**2), 0.0)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", vocabulary: int = VOCABULARY, max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS, prior: float = PRIOR) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS, prior: float = PRIOR) -> ToxicityModel:
     """A model from the labelled rows that are not held out."""
     spark = docs.sparkSession
     marks = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(~held_out("key") & F.col("key").isNotNull() & F.col("label").isin(0, 1))
     labelled = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("value")).join(broadcast_if_small(marks, "labels"), "key").select("key", "value", "label")
-    n0, n1 = (x or 0 for x in labelled.agg(F.sum(1 - F.col("label")), F.sum("label")).first())
+    wordless = ~F.coalesce(F.col("value").rlike(r"[\p{L}\p{N}]"), F.lit(False))
+    n0, n1, empty = labelled.agg(F.sum(1 - F.col("label")), F.sum("label"), F.avg(F.when(wordless, F.col("label")))).first()
+    n0, n1 = n0 or 0, n1 or 0
     rate = n1 / (n0 + n1) if n0 + n1 else 0.0
+    model = ToxicityModel(np.zeros(0, np.int64), np.zeros(0), 1.0, [], [], [], rate if empty is None or not n0 or not n1 else float(empty), rate, [])
     if not n0 or not n1:
-        return ToxicityModel({}, [], rate, rate, [])
-    a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
-    part = lambda seen, all_, share: F.when(seen > 0, seen * F.log(seen / (all_ * share))).otherwise(0.0)
-    counts = shared_table(word_ratios(labelled).where(F.col("n1") >= LEAST_TEXTS), "label-words")
-    share = (a + b) / (n0 + n1)
-    ratio = 2 * (part(a, F.lit(float(n1)), share) + part(b, F.lit(float(n0)), share) + part(n1 - a, F.lit(float(n1)), 1 - share) + part(n0 - b, F.lit(float(n0)), 1 - share))
-    chosen = counts.withColumn("ratio", ratio).where((F.col("ratio") >= LEAST_RATIO) & (a * n0 > b * n1)).orderBy(F.desc("ratio"), "term").limit(vocabulary)
-    idf = {r["term"]: math.log((n0 + n1 + 1) / (r["n0"] + r["n1"] + 1)) + 1 for r in chosen.collect()}
+        return model
 
     def vectors(batches):
-        own = Vectors(idf)
+        known = FeatureIds()
         for batch in slices(batches):
-            found = [own.terms(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["key", "label", "terms"])
-
+            found = [known.of(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([c.astype("<i4").tobytes() for _, c in found], pa.binary())], ["key", "label", "terms", "counts"])
+
+    # The hash up to which rows are taken comes from narrow rows; the limit after it is for repeated identifiers.
+    worded = labelled.where(~wordless)
+    place = F.xxhash64("key")
+    last = worded.select(place.alias("place")).orderBy("place").limit(max_examples).agg(F.max("place")).first()[0]
+    if last is None:
+        return model
     kind = labelled.schema["key"].dataType.simpleString()
-    found = shared_table(map_batches(labelled, vectors, f"key {kind}, label int, terms array<int>"), "example-vectors")
-    empty = found.where(F.size("terms") == 0).agg(F.avg("label")).first()[0]
-    sample = found.where(F.size("terms") > 0).orderBy(F.xxhash64("key"), "key", "label").limit(max_examples)
-    examples = sorted(((r["key"], r["label"], tuple(r["terms"])) for r in sample.collect()), key=lambda e: (e[2], e[0], e[1]))
-    model = ToxicityModel(idf, examples, rate if empty is None else float(empty), rate, [])
-    shared = spark.sparkContext.broadcast(model)  # max_examples vectors of the vocabulary's words
+    sample = map_batches(worded.where(place <= last), vectors, f"key {kind}, label int, terms binary, counts binary")
+    found = sample.orderBy(place, "key", "label", F.xxhash64("terms", "counts")).limit(max_examples).collect()
+    rows = [(r["key"], r["label"], np.frombuffer(r["terms"], "<i8"), np.frombuffer(r["counts"], "<i4")) for r in found if len(r["terms"])]
+    if not rows:
+        return model
+    model.terms, places = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+
+    counts = shared_table(word_ratios(labelled), "label-words")
+    examples_terms = spark.sparkContext.broadcast(model.terms)
+
+    def of_examples(batches):
+        for batch in batches:
+            terms = batch.column(0).to_numpy()
+            at = np.minimum(np.searchsorted(examples_terms.value, terms), len(examples_terms.value) - 1)
+            yield batch.filter(pa.array(examples_terms.value[at] == terms))
+
+    seen = map_batches(counts, of_examples, counts.schema).toArrow()
+    at = np.searchsorted(model.terms, seen["term"].to_numpy())
+    says = np.zeros(len(model.terms))
+    says[at] = relevance(seen["n1"].to_numpy().astype(float), seen["n0"].to_numpy().astype(float), n1, n0)
+    model.weights = (np.log((len(rows) + 1) / (np.bincount(places) + 1)) + 1) * (BASE + says)
+    model.other = (np.log(len(rows) + 1) + 1) * BASE
+
+    # Texts of like words are put beside each other: by the most frequent term, then by the weightiest.
+    ready = []
+    for name, mark, terms, times in rows:
+        at, values = model.vector(terms, times)
+        ready.append((int(at[times.argmax()]), int(at[values.argmax()]), name, mark, at.astype(np.int32), times.astype(np.min_scalar_type(times.max()))))
+    ready.sort(key=lambda r: r[:4])
+    model.examples, model.places, model.counts = [r[2:4] for r in ready], [r[4] for r in ready], [r[5] for r in ready]
+    shared = spark.sparkContext.broadcast(model)  # max_examples vectors
 
     def others(batches):
         model = shared.value
-        vectors, index = model.index()
         for batch in batches:
             votes, kinds = [], []
             for n in batch.column(0).to_pylist():
-                _, label, terms = model.examples[n]
-                near = [x for x in index.nearest(vectors.unit(terms), neighbours + 1) if x[0] != n][:neighbours]
+                near = [x for x in model.index.nearest_of(*model.vectors[n], neighbours + 1) if x[0] != n][:neighbours]
                 votes.append(model.vote(near, prior))
-                kinds.append(label)
+                kinds.append(model.examples[n][1])
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(kinds, pa.int32())], ["vote", "label"])
 
-    numbers = spark.range(len(examples), numPartitions=max(1, min(len(examples) // 200 + 1, 24)))
+    numbers = spark.range(len(ready), numPartitions=max(1, min(len(ready) // 200 + 1, 24)))
     votes = map_batches(numbers, others, "vote double, label int").collect()
+    shared.destroy()
+    examples_terms.destroy()
     model.steps = isotonic([v["vote"] for v in votes], [v["label"] for v in votes])
     return model
 
@@ -245,28 +248,15 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", neig
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        model = shared.value
-        vectors, index = model.index()
-        known: dict[tuple, tuple[float, list]] = {}
+        model, known = shared.value, FeatureIds()
         for batch in slices(batches):
             scores, evidence = [], []
             for value in batch.column(1).to_pylist():
-                terms = vectors.terms(value)
-                if not terms:
-                    scores.append(model.empty_rate)
-                    evidence.append([])
-                    continue
-                if terms not in known:
-                    near = index.nearest(vectors.unit(terms), neighbours)
-                    score = model.calibrated(model.vote(near, prior)) if near else model.empty_rate
-                    known[terms] = (min(max(score, 0.0), 1.0), [model.examples[n][0] for n, _ in near[:5]])
-                    if len(known) > 50_000:
-                        scores.append(known[terms][0])
-                        evidence.append(known[terms][1])
-                        known.clear()
-                        continue
-                scores.append(known[terms][0])
-                evidence.append(known[terms][1])
+                terms, counts = known.of(value)
+                near = model.index.nearest_of(*model.vector(terms, counts), neighbours) if len(terms) and model.examples else []
+                score = model.calibrated(model.vote(near, prior)) if near else model.rate if len(terms) else model.empty_rate
+                scores.append(min(max(score, 0.0), 1.0))
+                evidence.append([model.examples[n][0] for n, _ in near[:5]])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], ["row", "score", "evidence"])
 
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text).cast("string").alias("value"))

@@ -123,42 +123,69 @@ class BlockMaxIndex:
                 cursors = [c for c in cursors if c[0] != END]
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers from each start to its end, one range after the other."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class BlockMaxMatrix:
-    """Block maxima over a bounded collection, held as arrays: exact nearest documents for long queries.
+    """Sparse inverted lists with block maxima, held as arrays: exact nearest documents for long queries.
 
-    All blocks' bounds are one product. The blocks with the highest bounds are scored first, then only those whose bound
-    reaches the last of the best found.
+    A list has an entry for each block of documents that has its term: the block, its largest impact and where its
+    postings start. A query sums the maxima of its lists to a bound for each block. Blocks are scored in the order of their
+    bounds, until none can reach the last of the best found. Memory goes with the postings alone.
     """
 
     FIRST = 8
 
-    def __init__(self, postings: Iterable[tuple[int, int, float]], terms: int, documents: int, block: int = 32):
-        self.block, self.documents = block, documents
-        blocks = max(1, -(-documents // block))
-        self.impacts = np.zeros((terms, blocks * block))
-        for doc, term, impact in postings:
-            self.impacts[term, doc] = impact
-        self.tops = self.impacts.reshape(terms, blocks, block).max(axis=2)
-
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        docs = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-        return docs, weights @ self.impacts[np.ix_(terms, docs)]
+    def __init__(self, postings: Iterable[tuple[int, int, float]] | tuple[np.ndarray, np.ndarray, np.ndarray], terms: int, documents: int, block: int = 32):
+        """``postings``: (document, term, impact), or a tuple of three arrays of these."""
+        if not isinstance(postings, tuple):
+            rows = list(postings)
+            postings = tuple(np.array([r[k] for r in rows], kind) for k, kind in enumerate((np.int64, np.int64, np.float64)))
+        docs, term, impacts = postings
+        order = np.lexsort((docs, term))
+        docs, term, self.impacts = docs[order], term[order], impacts[order]
+        self.documents, self.blocks = documents, max(1, -(-documents // block))
+        first = np.flatnonzero(np.diff(term * self.blocks + docs // block, prepend=-1))
+        self.docs = docs.astype(np.int64)
+        self.entry_blocks = docs[first] // block
+        self.entry_tops = np.maximum.reduceat(self.impacts, first) if len(first) else np.zeros(0)
+        self.entry_starts = np.append(first, len(docs))
+        self.starts = np.searchsorted(term[first], np.arange(terms + 1))
 
     def nearest(self, query: dict[int, float], count: int) -> list[tuple[int, float]]:
         """The ``count`` best documents of positive score, best first; of equal scores (to 12 digits) the smaller number first."""
         terms = np.array(sorted(query), np.int64)
-        weights = np.array([query[t] for t in terms.tolist()])
-        bounds = weights @ self.tops[terms]
+        return self.nearest_of(terms, np.array([query[t] for t in terms.tolist()]), count)
+
+    def nearest_of(self, terms: np.ndarray, weights: np.ndarray, count: int) -> list[tuple[int, float]]:
+        """``nearest`` for ascending terms and their weights."""
+        starts, ends = self.starts[terms], self.starts[terms + 1]
+        entries, weights = ranges(starts, ends), np.repeat(weights, ends - starts)
+        if not len(entries):
+            return []
+        blocks = self.entry_blocks[entries]
+        bounds = np.bincount(blocks, weights * self.entry_tops[entries], self.blocks)
         order = np.argsort(-bounds, kind="stable")
-        docs, scores = self._scores(terms, weights, order[: self.FIRST])
-        bar = np.partition(scores, -count)[-count] if len(scores) >= count else 0.0
-        rest = order[self.FIRST :]
-        rest = rest[bounds[rest] >= max(bar, 0.0) * (1 - 1e-9)]
-        if len(rest):
-            more, found = self._scores(terms, weights, rest)
-            docs, scores = np.concatenate([docs, more]), np.concatenate([scores, found])
+        order = order[bounds[order] > 0]
+        scores, bar, size = np.zeros(self.documents), 0.0, self.FIRST
+        while len(order):
+            chosen = np.zeros(self.blocks, bool)
+            chosen[order[:size]] = True
+            own = chosen[blocks]
+            a, b = self.entry_starts[entries[own]], self.entry_starts[entries[own] + 1]
+            posts = ranges(a, b)
+            # All postings of a document are added here, in the order of the terms.
+            scores += np.bincount(self.docs[posts], np.repeat(weights[own], b - a) * self.impacts[posts], self.documents)
+            if len(scores) >= count:
+                bar = np.partition(scores, -count)[-count]
+            order, size = order[size:], 3 * size
+            order = order[bounds[order] >= bar * (1 - 1e-9)]
         scores = np.round(scores, 12)
-        keep = scores > 0
-        docs, scores = docs[keep], scores[keep]
-        best = np.lexsort((docs, -scores))[:count]
-        return list(zip(docs[best].tolist(), scores[best].tolist()))
+        docs = np.flatnonzero(scores > 0)
+        if len(docs) > count:
+            docs = docs[scores[docs] >= np.partition(scores[docs], -count)[-count]]
+        best = docs[np.lexsort((docs, -scores[docs]))[:count]]
+        return list(zip(best.tolist(), scores[best].tolist()))
