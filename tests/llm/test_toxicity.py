@@ -76,3 +76,21 @@ def test_few_labelled_texts_are_enough(spark):
     toxic, clean = ([got[1000 + k].score for k in range(24) if k % 2 == odd] for odd in (0, 1))
     assert min(toxic) > max(clean)
     assert all(got[i].evidence for i, _, _ in rows + new)
+
+
+def test_the_rest_of_the_text_counts(spark):
+    """One such word in a clean text of 20,000 words is not an insult of one word, and twice is not once."""
+    rng = random.Random(5)
+    long = " ".join([*rng.choices(WORDS, k=20_000), "vile"])
+    short = " ".join(WORDS[:30])
+    got = scored(spark, corpus(240, 6, 6) + [(1000, long, None), (1001, "vile", None), (1002, short + " vile", None), (1003, short + " vile" * 3, None)])
+    assert got[1000].score < 0.3 < got[1001].score
+    docs, labels = frames(spark, corpus(240, 6, 6))
+    model = toxicity.fit_toxicity(docs, labels)
+    known = toxicity.FeatureIds()
+    once, thrice = (dict(zip(*(x.tolist() for x in model.vector(*known.of(short + " vile" * k))))) for k in (1, 3))
+    place = int(np.searchsorted(model.terms, known.of("vile")[0][0]))
+    other = int(np.searchsorted(model.terms, known.of("w7")[0][0]))
+    assert np.isclose(thrice[place] / thrice[other], (1 + math.log(3)) * once[place] / once[other])
+    neutral = toxicity.score_toxicity(*[spark.createDataFrame([(1, short)], SCHEMA), model]).first()
+    assert len(neutral.evidence) == 5
