@@ -7,7 +7,7 @@ hashed words themselves and the share of words repeated at once, each as a share
 whole text counts, and a score costs one look-up for each word.
 
 The model is fitted on a bounded sample of the graded rows (``max_rows``, taken by a hash of the
-identifier); scores cover all rows.
+identifier); an identifier on several rows gives one text, taken by a hash, for each of its labels. Scores cover all rows.
 
 Defined cases: a null text is empty and gets the thresholds' own probabilities; a null grade or an
 identifier that appears in one table only is not used for the fit; repeated rows give repeated rows;
@@ -127,17 +127,21 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "quality", max_rows: int = MAX_ROWS) -> OrdinalModel:
     """A model from at most ``max_rows`` graded rows; their features and the weights are what the driver gets."""
     graded = labels.select(F.col(key).alias("key"), F.col(grade).cast("int").alias("grade")).where("key is not null and grade is not null")
-    sample = graded.orderBy(F.xxhash64("key"), "key", "grade").limit(max_rows)
+    sample = graded.orderBy(F.xxhash64("key"), "key", "grade").limit(max_rows).groupBy("key", "grade").agg(F.count("*").alias("times"))
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("value"))
-    rows = texts.join(F.broadcast(sample), "key").select("grade", "value")  # max_rows rows at most
+    rows = texts.join(F.broadcast(sample), "key").select("key", "grade", "times", "value")  # sample: max_rows rows at most
 
     def counted(batches):
         for batch in slices(batches):
-            found = [features(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype("<i4").tobytes() for f, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], ["grade", "places", "shares"])
-
-    found = map_batches(rows, counted, "grade int, places binary, shares binary").orderBy("grade", F.sha2("places", 256)).limit(max_rows).collect()
-    return fit_ordinal([(np.frombuffer(p, "<i4"), np.frombuffer(s, "<f4").astype(float), g) for g, p, s in found], DIM + 1)
+            found = [features(t) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([f.astype("<i4").tobytes() for f, _ in found], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())], ["key", "grade", "times", "places", "shares"])
+
+    # One text for each graded identifier, by a hash of the text: an identifier on many rows takes no places from others.
+    kind = rows.schema["key"].dataType.simpleString()
+    first = F.min(F.struct(F.sha2("places", 256).alias("digest"), "places", "shares")).alias("first")
+    texts_once = map_batches(rows, counted, f"key {kind}, grade int, times bigint, places binary, shares binary").groupBy("key", "grade", "times").agg(first)
+    found = texts_once.orderBy("grade", "first.digest", "key").select("grade", "times", "first.places", "first.shares").collect()
+    return fit_ordinal([(np.frombuffer(p, "<i4"), np.frombuffer(s, "<f4").astype(float), g) for g, n, p, s in found for _ in range(n)], DIM + 1)
 
 
 def score_quality(df: DataFrame, model: OrdinalModel, text: str = "text", at_least: int | None = None, tail: float = 0.5) -> DataFrame:
