@@ -28,9 +28,22 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group of near copies: five words, similarity 0.8."""
-    copies = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(broadcast_if_small(copies, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    """The row with the smallest identifier of each group of near copies: five words, similarity 0.8.
+
+    Rows are told apart by a number of their own, so null and repeated identifiers link nothing. Null comes last; of equal
+    identifiers the row with the smaller hash of its text is kept.
+    """
+    number = "row_number_of_stage"
+    # Written once: a second scan could number the rows in another way.
+    rows = shared_table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-rows")
+    found = shared_table(minhash.near_duplicates(rows, key=number).select(number, "component_id"), "row-components")
+    groups = found.where(F.col("component_id") != F.col(number)).select("component_id").distinct()
+    members = found.join(broadcast_if_small(groups, "groups"), "component_id", "left_semi")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), number)
+    ranked = shared_table(rows.join(broadcast_if_small(members, "members"), number).select("component_id", number, order.alias("order")), "group-rows")
+    first = ranked.groupBy("component_id").agg(F.min("order").alias("order")).select(F.col(f"order.{number}").alias(number))
+    copies = ranked.select(number).join(broadcast_if_small(first, "first-rows"), number, "left_anti")
+    return rows.join(broadcast_if_small(copies, "near-copies"), number, "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
