@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, line_dedup, minhash, quality, sharding, token_files, toxicity, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, language, line_dedup, merkle, minhash, periodic, quality, sharding, token_files, toxicity, warc
 
 #: Where the public tokenizer files are; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
@@ -88,6 +88,43 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of each document; a fifth of the documents are checked after a change of their text."""
+    documents = table(spark, sf_dir, "documents")
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    small = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    changed = F.when(tampered, merkle.leaf_digest([*(fields | {"text": small}).values()]))
+    found = merkle.merkle_manifest(documents, merkle.leaf_digest([*fields.values()]), changed=changed)
+    proof = F.sha2(merkle.proof_text(), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held = toxicity.held_out  # the rows that nothing is learned from are the same
+    model = language.fit_languages(documents.where(~held("doc_id")))
+    return language.identify_languages(documents, model).select(F.col("row.doc_id").alias("doc_id"), held("row.doc_id").alias("held_out"), "lang_pred", "score", "bits")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of each document, after the contract's change of a tenth of them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detect_runs(documents, periodic.made_periodic())
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    run = F.col("strongest")
+    return found.withColumn("strongest", periodic.strongest()).select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        run.start.alias("start"),
+        run.length.alias("length"),
+        run.period.alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_bpe, op2_decontamination, op3_toxicity, op4_near_duplicates, op5_quality, op6_warc, op7_token_files, op8_line_dedup, op9_exact_dedup, op10_sharding)
+    every = (op1_bpe, op2_decontamination, op3_toxicity, op4_near_duplicates, op5_quality, op6_warc, op7_token_files, op8_line_dedup, op9_exact_dedup, op10_sharding, op11_merkle_manifest, op12_language_id, op13_periodic_runs)
     return {query.__name__: query for query in every}
