@@ -10,7 +10,8 @@ from tidemark.operators import analysis, validate
 from tidemark.operators.clean import CORRUPT, clean_ratings
 from tidemark.operators.prefix import text_file_prefix
 from tidemark.sinks.files import write_parquet
-from tidemark.sources.files import csv_lines, read_csv_text, read_table
+from tidemark.sources.files import csv_lines, read_csv_text, read_table, records_as_text
+from tidemark.sources.records import csv_records
 from tidemark.workspace import shared_table
 
 # Columns of the item file.
@@ -69,16 +70,17 @@ def run_batch(
 
     Only ``*.csv`` of a folder are read, the first line of each is its header, and blank lines are
     counted as rejects. With ``budget`` only the leading bytes of each ratings file are used.
-    ``multi_line`` allows line breaks in quoted fields; blank lines are not counted then, and it
-    can't go with ``budget``, which cuts at line ends. ``skipped_items`` counts rejected items.
+    ``multi_line`` allows line breaks in quoted fields; a budget that ends inside one cuts its record
+    there. ``skipped_items`` counts rejected items.
     """
-    if multi_line and budget is not None:
-        raise ValueError("a budget cuts at line ends, so fields can't have line breaks")
     if budget is None:
-        rows = read_csv_text(spark, ratings_csv, multi_line=multi_line, blank_lines=not multi_line)
+        rows = read_csv_text(spark, ratings_csv, multi_line=multi_line, blank_lines=True)
     else:
         kept = text_file_prefix(spark, ratings_csv, budget, glob="*.csv")
-        rows = csv_lines(kept.filter(~F.col("is_header")).select("line"))
+        if multi_line:
+            rows = records_as_text(csv_records(kept.drop("is_header")), blank_lines=True)
+        else:
+            rows = csv_lines(kept.filter(~F.col("is_header")).select("line"))
     cleaned = clean_ratings(rows)
     counters = cleaned.write_valid(f"{output}/ratings")
     ratings = read_table(spark, f"{output}/ratings", "parquet", cleaned.valid.schema)

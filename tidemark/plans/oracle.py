@@ -120,6 +120,10 @@ FROM checked
 WITH {_CHECKED}
 SELECT reject_reason, count(*) AS row_count
 FROM checked WHERE reject_reason IS NOT NULL GROUP BY ALL
+""",
+    "csv_quoted_breaks": r"""
+SELECT doc_id, source, md5(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g')) AS text_md5, n_chars, false AS damaged
+FROM documents
 """,
     "range_filter_rows": """
 SELECT l_orderkey, l_partkey, l_linenumber, l_quantity

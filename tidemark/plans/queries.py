@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import as_event_time, epoch_to_timestamp, fixed_point
 from tidemark.operators import analysis, incremental, validate
-from tidemark.operators.clean import CleanResult, clean_ratings
+from tidemark.operators.clean import CORRUPT, CleanResult, clean_ratings
 from tidemark.operators.events import (
     decode_payload,
     encode_events,
@@ -224,6 +224,22 @@ def csv_scan_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_ratings(read_csv_text(spark, out)).valid
 
 
+@_register
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, with their line breaks and quotes, through CSV files that any number of tasks read."""
+    out = run_dir(spark, "csv_quoted_breaks")
+    columns = ["doc_id", "source", "text", "n_chars"]
+    write_csv(table(spark, sf_dir, "documents").select(*columns), out)
+    rows = read_csv_text(spark, out, columns, multi_line=True)
+    return rows.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        "source",
+        F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.col(CORRUPT).isNotNull().alias("damaged"),
+    )
+
+
 @_register
 def range_filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")

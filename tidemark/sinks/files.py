@@ -15,8 +15,9 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace what ``path`` held; every part file starts with the header line."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Replace what ``path`` held; every part file starts with the header line. Texts keep their outer spaces."""
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**spaces).csv(path)
 
 
 def preview(df: DataFrame, rows: int = 20) -> None:

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.clean import CORRUPT, RATING_COLUMNS
+from tidemark.sources.records import csv_records, text_lines
 
 FORMATS = ("csv", "json", "parquet")
 
+#: What a line has that is not blank.
+NOT_BLANK = "[^\\x00-\\x20]"
+
 # Doubled quotes inside quoted fields; the header line is skipped by position, never matched by name.
 CSV_OPTIONS = {
     "header": "true",
@@ -56,14 +60,14 @@ def read_csv_text(
     Nothing is typed or dropped here, so that the cleaner can count what it
     rejects. Blank lines are the exception, as Spark's reader does not see them: ``blank_lines`` adds
     them, from a second scan, as rows without fields. ``multi_line`` allows line breaks in quoted
-    fields, at the price of one task per file; blank lines are not told apart from such fields there.
+    fields: lines are written down and joined by :func:`~tidemark.sources.records.csv_records`, with any number of
+    tasks for each file; a blank line inside quotes is no row.
     """
-    if multi_line and blank_lines:
-        raise ValueError("blank lines can't be counted where fields may have line breaks")
+    if multi_line:
+        return records_as_text(csv_records(text_lines(spark, path)), columns, blank_lines)
     rows = (
         spark.read.schema(text_schema(columns))
         .options(**CSV_OPTIONS)
-        .option("multiLine", multi_line)
         .option("pathGlobFilter", "*.csv")
         .csv(path)
         .withColumn("file_name", F.col("_metadata.file_name"))
@@ -71,7 +75,7 @@ def read_csv_text(
     if not blank_lines:
         return rows
     lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
-    blank = lines.filter(~F.col("value").rlike("[^\\x00-\\x20]")).select(
+    blank = lines.filter(~F.col("value").rlike(NOT_BLANK)).select(
         *[F.lit(None).cast("string").alias(c) for c in columns],
         F.col("value").alias(CORRUPT),
         F.col("_metadata.file_name").alias("file_name"),
@@ -79,6 +83,15 @@ def read_csv_text(
     return rows.unionByName(blank)
 
 
+def records_as_text(records: DataFrame, columns: Sequence[str] = RATING_COLUMNS, blank_lines: bool = False) -> DataFrame:
+    """Records of :func:`~tidemark.sources.records.csv_records` in the columns of :func:`read_csv_text`, without headers."""
+    kept = records.filter(~F.col("is_header"))
+    if not blank_lines:
+        kept = kept.filter(F.col("record").rlike(NOT_BLANK))
+    named = kept.select(F.element_at(F.split("file", "/"), -1).alias("file_name"), "record")
+    return csv_lines(named, "record", columns).select(*columns, CORRUPT, "file_name")
+
+
 def csv_lines(
     lines: DataFrame, line: str = "line", columns: Sequence[str] = RATING_COLUMNS
 ) -> DataFrame:
