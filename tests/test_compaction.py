@@ -1,0 +1,153 @@
+"""Compaction of update batches: results, snapshots, crashes, bounded files."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from tidemark.operators.incremental import latest_version
+from tidemark.sinks.batches import BATCH, BatchWriter
+from tidemark.sinks.compaction import compact_batches, expire_batches, read_compacted
+from tidemark.snapshots import SharedFiles, SnapshotConflict, Snapshots
+
+KEYS = ["window_start", "window_end", "event_type"]
+SCHEMA = "window_start timestamp, window_end timestamp, event_type string, value_count bigint"
+BEGIN = dt.datetime(2024, 1, 1)
+
+
+@pytest.fixture
+def output(spark, tmp_path):
+    """A folder to which batches are added, and the newest row of each key."""
+    path, newest = str(tmp_path / "stats"), {}
+
+    def add(number, minutes, count=None):
+        rows = []
+        for minute in minutes:
+            start = BEGIN + dt.timedelta(minutes=minute)
+            row = (start, start + dt.timedelta(minutes=1), f"t{minute % 2}", count if count is not None else number * 100 + minute)
+            rows.append(row)
+            newest[row[:3]] = row
+        BatchWriter(path)(spark.createDataFrame(rows, SCHEMA).coalesce(1), number)
+
+    return path, newest, add
+
+
+def schema_of(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+def current(spark, path):
+    rows = read_compacted(spark, path, schema_of(spark))
+    return sorted(tuple(r)[:4] for r in latest_version(rows, KEYS, BATCH).collect())
+
+
+def compact(spark, path, **options):
+    return compact_batches(spark, path, schema_of(spark), KEYS, **options)
+
+
+def test_results_stay_and_closed_rows_are_left_alone(spark, output):
+    path, newest, add = output
+    for number in range(4):
+        add(number, range(number, number + 3))
+    assert compact(spark, path) == 1
+    assert current(spark, path) == sorted(newest.values())
+    state = Snapshots(spark, path).load(1)
+    assert state["through"] == 2 and len(state["closed"]) == 1 and len(state["open"]) == 1
+    piece = f"{path}/{state['closed'][0][0]}"
+    before = SharedFiles(spark).files(piece)
+    add(4, [6, 7])
+    compact(spark, path)
+    assert SharedFiles(spark).files(piece) == before
+    assert [tuple(p) for p in Snapshots(spark, path).load(2)["closed"]][0] == tuple(state["closed"][0])
+    assert current(spark, path) == sorted(newest.values())
+    # Every key once in what has been compacted, and nothing to do twice.
+    assert compact(spark, path, with_newest=True) == 3 == compact(spark, path, with_newest=True)
+    rows = read_compacted(spark, path, schema_of(spark))
+    assert rows.count() == len(newest)
+
+
+def test_a_closed_window_that_is_written_again(spark, output):
+    path, newest, add = output
+    add(0, [0, 1, 9])
+    compact(spark, path, with_newest=True)
+    add(5, [0], count=77)
+    assert current(spark, path) == sorted(newest.values())
+    add(6, [12])
+    compact(spark, path, with_newest=True)
+    assert current(spark, path) == sorted(newest.values())
+
+
+def test_readers_keep_their_rows(spark, output):
+    path, newest, add = output
+    for number in range(3):
+        add(number, [number, number + 1])
+    early = read_compacted(spark, path, schema_of(spark))
+    compact(spark, path, with_newest=True)
+    middle = read_compacted(spark, path, schema_of(spark))
+    add(3, [3])
+    compact(spark, path, with_newest=True)
+    expire_batches(spark, path, keep_seconds=3600)
+    assert early.count() == 6 and middle.count() == 4
+    assert current(spark, path) == sorted(newest.values())
+    assert len(Snapshots(spark, path).versions()) == 2
+    expire_batches(spark, path, keep_seconds=0)
+    files = SharedFiles(spark)
+    assert files.names(path) == ["_compacted", "_snapshots"] and len(Snapshots(spark, path).versions()) == 1
+    assert current(spark, path) == sorted(newest.values())
+
+
+def test_a_crash_between_write_and_commit(spark, output, monkeypatch):
+    path, newest, add = output
+    for number in range(3):
+        add(number, [number])
+
+    def killed(self, *args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(SharedFiles, "put_new", killed)
+        with pytest.raises(KeyboardInterrupt):
+            compact(spark, path)
+    assert Snapshots(spark, path).versions() == [] and current(spark, path) == sorted(newest.values())
+    assert compact(spark, path, with_newest=True) == 1
+    assert len(SharedFiles(spark).names(f"{path}/_compacted")) == 2
+    expire_batches(spark, path, keep_seconds=0)
+    assert len(SharedFiles(spark).names(f"{path}/_compacted")) == 1
+    assert current(spark, path) == sorted(newest.values())
+
+
+def test_of_two_compactions_one_commits(spark, output, monkeypatch):
+    path, newest, add = output
+    for number in range(3):
+        add(number, [number])
+    commit = Snapshots.commit
+
+    def overtaken(self, base, content):
+        with monkeypatch.context() as patch:
+            patch.setattr(Snapshots, "commit", commit)
+            compact(spark, path)
+        return commit(self, base, content)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Snapshots, "commit", overtaken)
+        with pytest.raises(SnapshotConflict):
+            compact(spark, path, with_newest=True)
+    assert Snapshots(spark, path).latest()[1]["through"] == 1 and current(spark, path) == sorted(newest.values())
+
+
+def test_pieces_stay_few(spark, output):
+    path, newest, add = output
+    rng = random.Random(1)
+    for number in range(14):
+        add(number, [number * 2, number * 2 + 1, max(0, number * 2 - rng.randint(1, 2))])
+        compact(spark, path, with_newest=True, fan=2)
+    levels = [level for _, level in Snapshots(spark, path).latest()[1]["closed"]]
+    assert len(levels) == len(set(levels)) <= 4
+    assert current(spark, path) == sorted(newest.values())
+
+
+def test_nothing_to_compact(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert compact(spark, path) == 0
+    assert read_compacted(spark, path, schema_of(spark)).count() == 0
+    expire_batches(spark, path)

@@ -83,6 +83,7 @@ _ORACLE = {
     "tumbling_stats_1m": _EVENT_STATS,
     "stream_tumbling_stats": _EVENT_STATS,
     "stream_multibatch_latest": _EVENT_STATS,
+    "stream_compacted": _EVENT_STATS,
     "stream_new_checkpoint": _EVENT_STATS,
     "stream_rating_stats": f"""
 WITH {_RATINGS}

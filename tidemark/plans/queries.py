@@ -26,6 +26,7 @@ from tidemark.plans.batch_job import run_batch
 from tidemark.plans.tables import rating_lines, rating_texts, ratings, table
 from tidemark.sinks import BatchWriter, ensure_database, publish_table, read_batches, write_csv
 from tidemark.sinks.batches import BATCH
+from tidemark.sinks.compaction import compact_batches, expire_batches, read_compacted
 from tidemark.sources import csv_lines, read_csv_text, read_table, stream_files
 from tidemark.streaming.job import DRAIN, finish, rating_stats, start_batches, start_landing
 from tidemark.workspace import run_dir
@@ -83,21 +84,39 @@ def stream_tumbling_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_stats(spark, f"{out}/stats", stats.schema, "event_type")
 
 
-@_register
-def stream_multibatch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Data arrives in three parts by time; the query stops after each and resumes from its checkpoint."""
+def _stats_in_thirds(spark: SparkSession, sf_dir: str, out: str, then: Callable[[T.StructType], object] = lambda schema: None) -> T.StructType:
+    """Events arrive in three parts by time; the stream stops after each, ``then`` runs, and it resumes."""
     events = table(spark, sf_dir, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     third = (last - first) / 3
     cuts = [first, first + third, first + 2 * third, last + dt.timedelta(days=1)]
-    out = run_dir(spark, "stream_multibatch_latest")
     stats = _event_stats(stream_files(spark, f"{out}/landing*", "parquet", events.schema))
     for lo, hi in zip(cuts, cuts[1:]):
         bounds = [F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz") for x in (lo, hi)]
         part = events.filter((F.col("ts") >= bounds[0]) & (F.col("ts") < bounds[1]))
         part.write.mode("append").parquet(f"{out}/landing")
         _drained(stats, BatchWriter(f"{out}/stats"), f"{out}/checkpoint")
-    return _latest_stats(spark, f"{out}/stats", stats.schema, "event_type")
+        then(stats.schema)
+    return stats.schema
+
+
+@_register
+def stream_multibatch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data arrives in three parts by time; the query stops after each and resumes from its checkpoint."""
+    out = run_dir(spark, "stream_multibatch_latest")
+    schema = _stats_in_thirds(spark, sf_dir, out)
+    return _latest_stats(spark, f"{out}/stats", schema, "event_type")
+
+
+@_register
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a compaction after each part, and old files deleted at the end."""
+    out, keys = run_dir(spark, "stream_compacted"), ["window_start", "window_end", "event_type"]
+    schema = _stats_in_thirds(spark, sf_dir, out, lambda schema: compact_batches(spark, f"{out}/stats", schema, keys))
+    compact_batches(spark, f"{out}/stats", schema, keys, with_newest=True)
+    expire_batches(spark, f"{out}/stats", keep_seconds=0)
+    latest = incremental.latest_version(read_compacted(spark, f"{out}/stats", schema), keys, BATCH)
+    return _without_zone(latest.drop(BATCH), "window_start", "window_end")
 
 
 @_register
