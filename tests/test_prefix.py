@@ -4,7 +4,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.prefix import byte_prefix, text_file_prefix
+from pyspark.sql import functions as F
+
+from tidemark.operators import prefix
+from tidemark.operators.prefix import byte_prefix, text_file_prefix, up_to
 from tidemark.operators.profile import file_profile, table_profile
 
 
@@ -102,6 +105,28 @@ def test_without_groups_the_cut_is_a_pushed_filter(spark, tmp_path):
     assert "LessThan(id," in plan and "Exchange" not in plan and "text" not in plan.split("ReadSchema")[1]
 
 
+def test_texts_beyond_the_bound_are_not_read(spark, tmp_path):
+    """A budget that takes 300 of 100,000 rows: reading a text behind the first 3,000 is an error."""
+    rows = spark.range(100_000).selectExpr("id", "repeat('x', cast(9 + id % 3 as int)) as text")
+    rows.repartitionByRange(20, "id").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    text = F.when(F.col("id") < 3_000, F.col("text")).otherwise(F.raise_error(F.lit("read beyond the bound")))
+    kept = byte_prefix(stored.withColumn("text", text), "text", "id", 3_300)
+    assert kept.select("id").count() == 300
+    near = up_to(stored, "id", 700)
+    assert "LessThanOrEqual(id,700)" in near._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("step", [1, 0.001, -1])
+def test_a_narrow_range_is_found_without_texts(spark, monkeypatch, step):
+    """Few bytes of many rows: the range is narrowed several times."""
+    monkeypatch.setattr(prefix, "QUANTILES", (0.05, 0.25))
+    rows = spark.range(20_000).select((F.col("id") * step).alias("id"), F.when(F.col("id") % 7 == 0, "é").alias("text"))
+    expected = [(r.id, r.text) for r in rows.collect()]
+    for budget in (0, 1, 5, 100, 900):
+        assert _keys(byte_prefix(rows, "text", "id", budget)) == _expected(expected, budget)
+
+
 def _file_prefix(path, budget):
     with open(path, encoding="utf-8") as f:
         header = f.readline()

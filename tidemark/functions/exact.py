@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Bits of the lower limbs of a sum.
+LIMB_BITS = 22
+
 
 def fixed_point(value: Column | str, scale: int) -> Column:
     """``value`` as BIGINT units of ``10**-scale``; NaN and infinity have none and raise an error."""
@@ -20,13 +23,15 @@ def fixed_point(value: Column | str, scale: int) -> Column:
 def exact_sum(value: Column | str, scale: int) -> Column:
     """Sum aggregate in DECIMAL(38, 0) units of ``10**-scale``.
 
-    High and low halves of the units are summed as BIGINT, which 2**31 rows of any size can't exceed;
-    only the two results become decimals. Digits beyond ``scale`` are rounded in each value.
+    The units are cut into limbs of 22, 22 and 20 bits, each summed as BIGINT, which 2**41 rows of any size can't
+    exceed; only the three results become decimals. Digits beyond ``scale`` are rounded in each value.
     """
     units = fixed_point(value, scale)
-    high = F.sum(F.shiftright(units, 32)).cast("decimal(38,0)")
-    low = F.sum(units.bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(38,0)")
-    return (high * F.lit(2**32).cast("decimal(11,0)") + low).cast("decimal(38,0)")
+    mask = F.lit((1 << LIMB_BITS) - 1).cast("bigint")
+    limbs = [units.bitwiseAND(mask), F.shiftright(units, LIMB_BITS).bitwiseAND(mask), F.shiftright(units, 2 * LIMB_BITS)]
+    low, middle, high = (F.sum(limb).cast("decimal(38,0)") for limb in limbs)
+    step = F.lit(1 << LIMB_BITS).cast("decimal(8,0)")
+    return ((high * step + middle).cast("decimal(38,0)") * step + low).cast("decimal(38,0)")
 
 
 def exact_mean(value: Column | str, scale: int | None = None) -> Column:

@@ -23,6 +23,10 @@ DEFAULT_BUDGET = 300 * 1024 * 1024
 NEWLINE_BYTES = 1
 BYTE_ORDER_MARK_BYTES = 3
 
+#: Shares of the rows at which the order column is cut, each four times the one before.
+QUANTILES = tuple(4.0**-k for k in range(6, 0, -1))
+_RANKED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def line_bytes(text: Column | str) -> Column:
     """UTF-8 bytes of a line with its newline."""
@@ -43,15 +47,18 @@ def byte_prefix(
 
     With ``group`` every group has its own budget. ``header_bytes`` counts
     against the budget beforehand. A row whose ``order`` is null has no place: it is an error. Without a group the answer is a plain filter
-    ``order < bound``, which reaches the scan.
+    ``order < bound``, which reaches the scan; and only texts near the beginning of the order are read to find
+    it (:func:`_leading_rows`).
     """
     groups = [group] if group else []
     place = F.when(F.col(order).isNull(), F.raise_error(F.lit(f"{order} is null"))).otherwise(F.col(order))
+    budget = max(budget - header_bytes, 0)
+    near = df if groups else _leading_rows(df, text, order, budget)
     bounds = _overflow(
-        df.select(*groups, place.alias(order), line_bytes(text).alias("bytes")),
+        near.select(*groups, place.alias(order), line_bytes(text).alias("bytes")),
         groups,
         order,
-        max(budget - header_bytes, 0),
+        budget,
         pieces or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2),
         max_piece_rows,
     )
@@ -59,16 +66,61 @@ def byte_prefix(
         bound = bounds.first()
         if bound is None:
             return df
-        value, kind = bound["overflow"], df.schema[order].dataType
-        # A zone-less time has to reach the plan without passing through a zone.
-        literal = F.lit(str(value)) if isinstance(kind, T.TimestampNTZType) else F.lit(value)
-        return df.filter(F.col(order) < literal.cast(kind))
+        return df.filter(F.col(order) < _literal(bound["overflow"], df.schema[order].dataType))
     # One row per group that overflows.
     cut = _attach(df, broadcast_if_small(bounds, "prefix-bounds"), groups, "left")
     fits = F.col("overflow").isNull() | (F.col(order) < F.col("overflow"))
     return cut.filter(fits).select(*df.columns)
 
 
+def _literal(value, kind: T.DataType) -> Column:
+    # A zone-less time has to reach the plan without passing through a zone.
+    literal = F.lit(str(value)) if isinstance(kind, T.TimestampNTZType) else F.lit(value)
+    return literal.cast(kind)
+
+
+def up_to(df: DataFrame, order: str, bound) -> DataFrame:
+    """Rows whose ``order`` is not beyond ``bound``; all without one. The filter reaches the scan."""
+    return df if bound is None else df.filter(F.col(order) <= _literal(bound, df.schema[order].dataType))
+
+
+def _leading_rows(df: DataFrame, text: str, order: str, budget: int) -> DataFrame:
+    """Rows up to some bound of ``order`` that cost more than ``budget``, or all rows.
+
+    The bound comes from quantiles of the order column alone. A line costs a byte at least, so first the range is
+    narrowed, without any text, to some multiple of ``budget`` rows; then the bound grows from
+    its least quantile on, by what the lines before it cost, until they exceed the budget. Texts beyond the last bound are never
+    read. Orders that have no quantiles (texts) are taken whole.
+    """
+    if not isinstance(df.schema[order].dataType, _RANKED):
+        return df
+    scope, count, bounds = None, None, []
+    while True:
+        rows = up_to(df, order, scope)
+        found = rows.agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col(order).isNull()).alias("nulls"), F.percentile_approx(order, list(QUANTILES), F.lit(10_000)).alias("bounds")
+        ).first()
+        if found.nulls:
+            raise ValueError(f"{order} is null")
+        if count is not None and found.n <= budget:
+            break  # the sketch was off: stay with the wider range
+        count, scope_of, bounds = found.n, scope, list(found.bounds or [])
+        inner = next((b for q, b in zip(QUANTILES, bounds) if q * count > 2 * (budget + 1)), None)
+        if inner is None or inner == scope:
+            break
+        scope = inner
+    least = 0.0
+    for share, bound in zip(QUANTILES, bounds):
+        if share < least:
+            continue
+        spent, n = up_to(df, order, bound).agg(F.sum(line_bytes(text)), F.count(F.lit(1))).first()
+        if spent is not None and spent > budget:
+            return up_to(df, order, bound)
+        # The next bound to try is the first that should do by the mean cost of a line so far.
+        least = 1.2 * (budget + 1) / (spent / n) / count if n else 0.0
+    return up_to(df, order, scope_of)
+
+
 def _attach(df: DataFrame, bounds: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join in which a null key is a group like any other."""
     renamed = bounds.withColumnsRenamed({k: f"bound_{k}" for k in keys})

@@ -204,10 +204,15 @@ SELECT o_orderkey, o_totalprice + CASE WHEN o_orderdate >= DATE '1996-01-01' THE
        cast(CASE WHEN o_orderdate >= DATE '1996-01-01' THEN 3 ELSE 2 END AS bigint) AS version
 FROM orders
 """,
-    "file_prefix": """
-SELECT source, least(count(*), CASE WHEN count(*) * 33 <= 10000 THEN count(*) ELSE 10000 // 33 END) AS line_count,
-       cast(1 AS bigint) AS header_count
-FROM documents GROUP BY source
+    "file_prefix": r"""
+WITH lines AS (
+  SELECT doc_id, source, cast(doc_id % 4 AS integer) AS part,
+         doc_id || ' ' || regexp_replace(coalesce(text, ''), '[\r\n]', '¶', 'g') AS line
+  FROM documents),
+spent AS (
+  SELECT *, sum(strlen(line) + 1) OVER in_file AS bytes, row_number() OVER in_file = 1 AS is_header
+  FROM lines WINDOW in_file AS (PARTITION BY source, part ORDER BY doc_id ROWS UNBOUNDED PRECEDING))
+SELECT source, part, md5(line) AS line_md5, is_header FROM spent WHERE bytes <= 50000 OR is_header
 """,
     "batch_job_counters": f"""
 WITH {_checked(0.5, 5.0, ragged=False)}

@@ -435,14 +435,20 @@ def byte_prefix_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def file_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as one text file per source, each cut to a budget; a line is a hash of fixed length."""
+    """Documents as text files, several for each source, each cut to a budget: the lines kept, by hash and file."""
     out = run_dir(spark, "file_prefix")
-    lines = table(spark, sf_dir, "documents").select("source", F.md5(F.coalesce("text", F.lit(""))).alias("line"))
-    lines.repartition("source").write.partitionBy("source").text(out)
-    source = F.regexp_extract("file", "/source=([^/]+)/", 1)
-    kept = text_file_prefix(spark, f"{out}/source=*", budget=10_000, glob="part-*")
-    return kept.groupBy(source.alias("source")).agg(
-        F.count(F.lit(1)).alias("line_count"), F.count_if("is_header").alias("header_count")
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", "¶")
+    lines = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.col("doc_id") % 4).alias("part"), F.concat_ws(" ", "doc_id", text).alias("line")
+    )
+    ordered = lines.repartition("source", "part").sortWithinPartitions("source", "part", "doc_id").drop("doc_id")
+    ordered.write.partitionBy("source", "part").text(out)
+    kept = text_file_prefix(spark, f"{out}/source=*/part=*", budget=50_000, glob="part-*")
+    return kept.select(
+        F.regexp_extract("file", "/source=([^/]+)/", 1).alias("source"),
+        F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("int").alias("part"),
+        F.md5("line").alias("line_md5"),
+        "is_header",
     )
 
 
