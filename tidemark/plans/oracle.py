@@ -244,6 +244,16 @@ SELECT o_orderkey,
             ELSE o_orderstatus END AS o_orderstatus,
        o_orderpriority
 FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus <> 'F'
+""",
+    "apply_changes_files": """
+SELECT o_orderkey,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'R' WHEN o_orderstatus = 'P' THEN 'O'
+            ELSE o_orderstatus END AS o_orderstatus,
+       o_orderpriority
+FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus <> 'F'
+""",
+    "incremental_late": """
+SELECT event_id, ts, user_id, event_type, value FROM events
 """,
     "merge_stats": f"""
 SELECT event_type, user_id, count(*) AS n, cast(sum({_cents("value")}) AS bigint) AS total,

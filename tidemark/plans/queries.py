@@ -19,6 +19,7 @@ from tidemark.operators.events import (
     parse_ratings,
     range_filter,
 )
+from tidemark.operators.ledger import Ledger
 from tidemark.operators.prefix import byte_prefix, text_file_prefix
 from tidemark.operators.profile import file_profile, table_profile
 from tidemark.operators.stats import key_avg, key_stats, windowed_stats
@@ -27,6 +28,7 @@ from tidemark.plans.tables import rating_lines, rating_texts, ratings, table
 from tidemark.sinks import BatchWriter, ensure_database, publish_table, read_batches, write_csv
 from tidemark.sinks.batches import BATCH
 from tidemark.sinks.compaction import compact_batches, expire_batches, read_compacted
+from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import csv_lines, read_csv_text, read_table, stream_files
 from tidemark.streaming.job import DRAIN, finish, rating_stats, start_batches, start_landing
 from tidemark.workspace import run_dir
@@ -340,6 +342,23 @@ def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newer.select("event_id", "ts", "user_id", "event_type", "value")
 
 
+@_register
+def incremental_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries of events, with rows of old times and rows that were delivered before; each event is picked up once."""
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    events = table(spark, sf_dir, "events").select(*columns)
+    late, early = F.col("event_id") % 3 == 0, F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    deliveries = [early & ~late, early & (late | (F.col("event_id") % 5 == 0)), ~early | (F.col("event_id") % 7 == 0)]
+    out = run_dir(spark, "incremental_late")
+    ledger = Ledger(spark, f"{out}/ledger", f"{out}/landing", events.schema, ["event_id"])
+    for rows in deliveries:
+        events.where(rows).write.mode("append").parquet(f"{out}/landing")
+        increment = ledger.pending()
+        BatchWriter(f"{out}/picked")(increment.rows, increment.number)
+        increment.commit()
+    return read_batches(spark, f"{out}/picked", events.schema).select(*columns)
+
+
 @_register
 def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -382,9 +401,9 @@ def merge_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.merge_upsert(base, delta, ["o_orderkey"], "version")
 
 
-@_register
-def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+def _order_changes(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders, and changes that update and delete some of them, in three versions."""
+    base = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
 
     def change(which, version: int, op: str, new_status: str) -> DataFrame:
@@ -401,9 +420,27 @@ def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(change(status == "F", 2, "D", "F"))
         .unionByName(change(priority == "1-URGENT", 3, "U", "R"))
     )
+    return base, changes
+
+
+@_register
+def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, changes = _order_changes(table(spark, sf_dir, "orders"))
     return incremental.apply_changes(base, changes, ["o_orderkey"], "version")
 
 
+@_register
+def apply_changes_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes in three commits to a table of keyed files, each of which rewrites the files that it touches."""
+    base, changes = _order_changes(table(spark, sf_dir, "orders"))
+    base = base.withColumn("version", F.lit(0))
+    orders = KeyedTable(spark, run_dir(spark, "apply_changes_files"), base.schema, ["o_orderkey"], "version", file_rows=20_000)
+    orders.create(base)
+    for version in (1, 2, 3):
+        orders.apply(changes.where(F.col("version") == version), op="op")
+    return orders.read().drop("version")
+
+
 @_register
 def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
