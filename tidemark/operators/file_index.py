@@ -52,19 +52,6 @@ def index_files(rows: DataFrame, keys: list[str], file: str = "file") -> DataFra
     return sizes.join(bitmaps, file)
 
 
-def _may_hold(filters: list, buckets: int, hashes: np.ndarray) -> bool:
-    bits = np.zeros(buckets * _BITMAP // 8, np.uint8)
-    for part in filters:
-        at = part["bucket"] * _BITMAP // 8
-        bits[at : at + len(part["bitmap"])] = np.frombuffer(part["bitmap"], np.uint8)
-    low, high = hashes & 0x7FFFFFFF, (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int64)
-    found = np.ones(len(hashes), bool)
-    for k in range(PROBES):
-        place = (low + high * k) % (buckets * _BITMAP)
-        found &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-    return bool(found.any())
-
-
 def files_that_may_hold(index: DataFrame, wanted: DataFrame, keys: list[str], file: str = "file") -> list[str]:
     """Names of the files of ``index`` that the keys of ``wanted`` are not ruled out of."""
     first = F.col(f"`{keys[0]}`")
@@ -78,9 +65,22 @@ def files_that_may_hold(index: DataFrame, wanted: DataFrame, keys: list[str], fi
     hashes = np.unique(wanted.select(key_hash(keys).alias("hash")).toArrow().column(0).to_numpy())  # MAX_PROBED_KEYS at most
     shared = index.sparkSession.sparkContext.broadcast(hashes)
 
+    # Tasks get this by value, so that workers need not have this package.
+    def may_hold(filters: list, buckets: int, hashes: np.ndarray) -> bool:
+        bits = np.zeros(buckets * _BITMAP // 8, np.uint8)
+        for part in filters:
+            at = part["bucket"] * _BITMAP // 8
+            bits[at : at + len(part["bitmap"])] = np.frombuffer(part["bitmap"], np.uint8)
+        low, high = hashes & 0x7FFFFFFF, (hashes.view(np.uint64) >> np.uint64(33)).astype(np.int64)
+        found = np.ones(len(hashes), bool)
+        for k in range(PROBES):
+            place = (low + high * k) % (buckets * _BITMAP)
+            found &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        return bool(found.any())
+
     def probed(batches):
         for batch in batches:
-            keep = [_may_hold(f, b, shared.value) for f, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            keep = [may_hold(f, b, shared.value) for f, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_()))], ["file"])
 
     found = left.select(F.col(file).alias("file"), "filter", "buckets").mapInArrow(probed, "file string")
