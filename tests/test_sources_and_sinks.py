@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from tidemark.operators.clean import clean_ratings
@@ -12,11 +13,13 @@ from tidemark.sinks import (
     preview,
     publish_table,
     register_files,
+    register_folder,
     write_csv,
     write_jdbc,
     write_kafka,
     write_parquet,
 )
+from tidemark.sinks.catalog import expire_published, missing_tables
 from tidemark.sources import kafka_stream, read_csv_text, read_result_table, read_table
 from tidemark.streaming import job
 from tidemark.streaming.config import StreamConfig
@@ -167,6 +170,51 @@ def test_published_tables_are_replaced_and_counted(spark, tmp_path):
     assert [r.rating for r in spark.table("cinema2.ratings").collect()] == [4.0]
 
 
+def test_readers_keep_their_rows_while_a_table_is_replaced(spark, tmp_path, records):
+    """Also where the path has quotes, and where a writer dies before the switch."""
+    path = str(tmp_path / "it's `here`")
+    ensure_database(spark, "cinema3", str(tmp_path / "the 'db'"))
+    publish_table(spark.range(3), "cinema3", "ids", path)
+    reader, broken = spark.table("cinema3.ids"), spark.range(2).withColumn("id", F.raise_error(F.lit("dies")).cast("bigint"))
+    assert publish_table(spark.range(5, 9), "cinema3", "ids", path) == 4
+    with pytest.raises(Exception, match="dies"):
+        publish_table(broken, "cinema3", "ids", path)
+    assert records(reader) == [(0,), (1,), (2,)]
+    assert records(spark.table("cinema3.ids")) == [(5,), (6,), (7,), (8,)]
+    assert expire_published(spark, "cinema3", "ids", 3600) == []
+    assert len(expire_published(spark, "cinema3", "ids", 0)) == 2
+    assert records(spark.table("cinema3.ids")) == [(5,), (6,), (7,), (8,)]
+    assert publish_table(spark.range(1).withColumn("more", F.lit("x")), "cinema3", "ids", path) == 1
+    assert records(spark.table("cinema3.ids")) == [(0, "x")]
+
+
+def test_a_folder_of_csv_files_as_tables(spark, tmp_path, records):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "movies.csv").write_text('movieId,title\n1,"A, ""b"""\n2,B\n')
+    (folder / "links.csv").write_text("movieId,link\n1,x\n")
+    (folder / "notes.txt").write_text("no table")
+    types = {"movies": "movieId int, title string"}
+    assert missing_tables(spark, str(folder), "shelf") == ["links", "movies"]
+    place = str(tmp_path / "tables")
+    assert register_folder(spark, str(folder), "shelf", types, place) == {"links": 1, "movies": 2}
+    assert records(spark.table("shelf.movies")) == [(1, 'A, "b"'), (2, "B")]
+    assert records(spark.table("shelf.links")) == [("1", "x")]
+    (folder / "movies.csv").write_text("movieId,title\n3,C\n")
+    (folder / "more.csv").write_text("a\n1\n")
+    assert register_folder(spark, str(folder), "shelf", types, place, only_missing=True) == {"more": 1}
+    assert records(spark.table("shelf.movies")) == [(1, 'A, "b"'), (2, "B")]
+    # A wrong header stops everything before any table is replaced.
+    (folder / "movies.csv").write_text("title,movieId\nC,3\n")
+    (folder / "links.csv").write_text("movieId,link\n7,y\n8,y\n")
+    with pytest.raises(ValueError, match="header"):
+        register_folder(spark, str(folder), "shelf", types, place)
+    assert records(spark.table("shelf.links")) == [("1", "x")]
+    (folder / "a-b.csv").write_text("x\n")
+    with pytest.raises(ValueError, match="a-b"):
+        register_folder(spark, str(folder), "shelf", types, place)
+
+
 def test_input_tables_are_read_in_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     assert table(spark, "/root/testdata/sf0.001", "events").count() > 0

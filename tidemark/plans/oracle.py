@@ -292,6 +292,14 @@ SELECT category, count(*) AS row_count, count(DISTINCT p_partkey) AS item_count,
        {_mean("tr")} AS avg_value
 FROM checked JOIN listed ON tm = p_partkey
 WHERE reject_reason IS NULL GROUP BY category
+""",
+    "register_folder": """
+SELECT 'orders' AS table_name, count(*) AS row_count, cast(sum(o_orderkey) AS bigint) AS keys,
+       cast(sum(cast(round(o_totalprice * 100) AS bigint)) AS bigint) AS cents, count(DISTINCT o_orderstatus) AS texts
+FROM orders
+UNION ALL
+SELECT 'part', count(*), cast(sum(p_partkey) AS bigint), cast(sum(cast(round(p_retailprice * 100) AS bigint)) AS bigint), count(DISTINCT p_name)
+FROM part
 """,
     "publish_tables": f"""
 WITH {_CHECKED}

@@ -26,6 +26,7 @@ from tidemark.operators.stats import key_avg, key_stats, windowed_stats
 from tidemark.plans.batch_job import run_batch
 from tidemark.plans.tables import rating_lines, rating_texts, ratings, table
 from tidemark.sinks import BatchWriter, ensure_database, publish_table, read_batches, write_csv
+from tidemark.sinks import catalog
 from tidemark.sinks.batches import BATCH
 from tidemark.sinks.compaction import compact_batches, expire_batches, read_compacted
 from tidemark.sinks.keyed import KeyedTable
@@ -546,6 +547,27 @@ def publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def register_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of CSV data as tables by stem, published twice; what the second publication has."""
+    out = run_dir(spark, "register_folder")
+    orders, parts = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
+    columns = {"orders": "o_orderkey bigint, o_orderstatus string, o_totalprice double", "part": "p_partkey bigint, p_name string, p_retailprice double"}
+    database = "tidemark_folder"
+    for later in (False, True):
+        folder = f"{out}/csv-{later}"
+        write_csv(orders.select(*(c.split()[0] for c in columns["orders"].split(", "))), f"{folder}/orders.csv")
+        write_csv(parts.where(F.lit(later) | (F.col("p_partkey") % 2 == 0)).select("p_partkey", "p_name", "p_retailprice"), f"{folder}/part.csv")
+        catalog.register_folder(spark, folder, database, columns, f"{out}/tables")
+    found = None
+    for name, key, price, text in (("orders", "o_orderkey", "o_totalprice", "o_orderstatus"), ("part", "p_partkey", "p_retailprice", "p_name")):
+        rows = spark.table(f"{database}.{name}").groupBy(F.lit(name).alias("table_name")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("keys"), F.sum(fixed_point(price, 2)).alias("cents"), F.countDistinct(text).alias("texts")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def _batch_inputs(spark: SparkSession, sf_dir: str, out: str) -> tuple[str, str]:
     """Events as ratings files and parts as item files."""
     write_csv(rating_texts(table(spark, sf_dir, "events")), f"{out}/ratings")
