@@ -138,6 +138,15 @@ WITH checked AS (
   FROM orders)
 SELECT reject_reason, count(*) AS row_count
 FROM checked WHERE reject_reason IS NOT NULL GROUP BY ALL
+""",
+    "validate_references": """
+WITH checked AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+         CASE WHEN l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') THEN 'order'
+              WHEN NOT coalesce(l_quantity <= 49, false) THEN 'quantity'
+              WHEN rank() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_linenumber, l_partkey) > 1 THEN 'supplier' END AS reject_reason
+  FROM lineitem)
+SELECT * FROM checked WHERE reject_reason IS NOT NULL
 """,
     "key_averages": f"""
 SELECT l_partkey, {_mean("l_quantity")} AS avg_l_quantity FROM lineitem GROUP BY ALL
@@ -147,6 +156,14 @@ SELECT l_suppkey, count(*) AS l_extendedprice_count,
        {_mean("l_extendedprice")} AS avg_l_extendedprice,
        max(l_extendedprice) AS max_l_extendedprice, min(l_extendedprice) AS min_l_extendedprice
 FROM lineitem GROUP BY ALL
+""",
+    "key_quantiles": """
+WITH ranked AS (
+  SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS place,
+         count(*) OVER (PARTITION BY l_returnflag) AS total
+  FROM lineitem)
+SELECT l_returnflag, share, l_extendedprice AS quantile
+FROM ranked JOIN (VALUES (1), (10), (250), (500), (900), (999), (1000)) AS shares (share) ON place = (total * share + 999) // 1000
 """,
     "value_histogram": """
 SELECT l_quantity, count(*) AS row_count,
@@ -182,6 +199,13 @@ SELECT user_id, count(*) AS row_count, count(DISTINCT event_type) AS item_count,
        min(ts) AS first_seen, max(ts) AS last_seen,
        count(DISTINCT cast(ts AS date)) AS active_days
 FROM events GROUP BY user_id
+""",
+    "user_behaviour_incremental": f"""
+SELECT l_suppkey, count(*) AS row_count, count(DISTINCT l_partkey) AS item_count,
+       {_mean("l_quantity")} AS avg_value, round(stddev_pop(l_quantity), 6) AS stddev_value,
+       min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen,
+       count(DISTINCT cast(l_shipdate AS date)) AS active_days
+FROM lineitem GROUP BY l_suppkey
 """,
     "incremental_delta": """
 SELECT event_id, ts, user_id, event_type, value FROM events

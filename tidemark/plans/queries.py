@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_event_time, epoch_to_timestamp, fixed_point
-from tidemark.operators import analysis, incremental, validate
+from tidemark.operators import analysis, behaviour, incremental, quantiles, validate
 from tidemark.operators.clean import CORRUPT, CleanResult, clean_ratings
+from tidemark.operators.cross_rules import Refers, Unique, check_rows
 from tidemark.operators.events import (
     decode_payload,
     encode_events,
@@ -281,6 +282,19 @@ def validate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.reject_counts(checked)
 
 
+@_register
+def validate_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by rules across rows: the order is there, and no earlier line of it has the same supplier."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    rules = [
+        ("order", Refers(("l_orderkey",), orders, ("o_orderkey",))),
+        ("quantity", F.col("l_quantity") <= 49),
+        ("supplier", Unique(("l_orderkey", "l_suppkey"), ("l_linenumber", "l_partkey"))),
+    ]
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return validate.rejected_rows(check_rows(lines, rules))
+
+
 # Grouped statistics and analyses
 
 
@@ -294,6 +308,13 @@ def key_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_stats(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice", scale=2)
 
 
+@_register
+def key_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of few keys with many values each."""
+    lines = table(spark, sf_dir, "lineitem")
+    return quantiles.key_quantiles(lines, ["l_returnflag"], "l_extendedprice", [1, 10, 250, 500, 900, 999, 1000], scale=2)
+
+
 @_register
 def value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.value_histogram(table(spark, sf_dir, "lineitem"), "l_quantity")
@@ -332,6 +353,21 @@ def user_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.user_behaviour(events, "user_id", "event_type", "value", "ts", scale=2)
 
 
+@_register
+def user_behaviour_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as users and parts as items: kept parts of the earlier shipments, merged with those of the later ones."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity", "l_shipdate")
+    early = F.col("l_shipdate") < F.lit("1995-06-01").cast("timestamp_ntz")
+    out, numbers, kept = run_dir(spark, "user_behaviour_incremental"), None, None
+    for step, rows in enumerate((lines.where(early), lines.where(~early))):
+        numbers = behaviour.item_numbers(rows, "l_partkey", numbers)
+        parts = behaviour.user_parts(rows, "l_suppkey", "l_partkey", "l_quantity", "l_shipdate", 2, numbers)
+        parts = parts if kept is None else kept.merged(parts)
+        parts.write(f"{out}/{step}")
+        kept = behaviour.read_parts(spark.read, f"{out}/{step}", "l_suppkey", 2)
+    return kept.behaviour()
+
+
 # Increments, versions and changes
 
 
