@@ -76,7 +76,7 @@ def key_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequen
         bins = (
             counts.join(broadcast_if_small(ends, "quantile-bins"), same("of_"))
             .where((F.col("units") >= F.col("from")) & (off < F.lit(Decimal(BINS ** (step + 1))).cast("decimal(24,0)")))
-            .groupBy(*names, "from", F.floor(off / wide).cast("int").alias("bin"))
+            .groupBy(*names, "from", ((off - off % wide) / wide).cast("int").alias("bin"))
             .agg(F.sum("n").alias("n"))
         )
         through = F.sum("n").over(Window.partitionBy(*names, "from").orderBy("bin"))  # BINS rows at most
