@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -56,6 +57,20 @@ def test_bpe_equals_the_library(name):
         assert decoder.decode(np.array(ids, "<u4").tobytes(), 3) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_of_long_runs(name):
+    """Runs without a cut, beyond a block: equal to the library, in time that grows as the text does."""
+    path, rng = tokenizer(name), random.Random(6)
+    library, encoder = Tokenizer.from_file(path), bpe.Encoder(bpe.Vocabulary(json.load(open(path))))
+    signs = ["x", "abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x4E00, 0x5A00))), "+/09azAZ", "é\u0301a", "!"]
+    texts = ["".join(rng.choices(s, k=70_000)) for s in signs] + ["".join(rng.choices(signs[1], k=1_000_000)), "end " + "y" * 66_000 + " after it"]
+    for text in texts:
+        start = time.process_time()
+        ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert time.process_time() - start < 3 + len(text) / 20_000
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
 def test_lookahead_of_small_merge_lists():
     assert bpe.sufficient_lookahead([("a", "b")], len) == 1
     # b joins c before a joins b, and c joins d before that: a chain of three.
