@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ MAGIC = b"TMIDS\x01"
 FOOTER = struct.Struct("<6sBBIQQQQQ")
 #: Entries of a worker's table of words.
 MEMO_WORDS = 500_000
+#: Characters of the texts that are put together by arrays at a time, and rows that a task takes at once.
+TOGETHER, ROWS = 1 << 23, 2048
 
 
 def bits_for(vocabulary_size: int) -> int:
@@ -142,11 +145,11 @@ class TokenFile:
 
 
 class WordwiseTokenizer:
-    """The ``tokenizers`` library behind a table of the words that it has encoded.
+    """The ``tokenizers`` library behind a table of the pieces that it has encoded.
 
-    A byte-level tokenizer splits at a space between two other characters whatever stands around,
-    so the ids of a text are those of its first word and of each later one with its space. Texts with other
-    white space beside a space are encoded as they are.
+    A byte-level tokenizer splits at a single space or line break between two other characters, whatever stands around.
+    So the ids of a text are those of its first word and of each later one with its space or break. Texts in
+    which white space meets white space, or an end, are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -164,81 +167,88 @@ class WordwiseTokenizer:
         self.spaced = np.zeros(self.size, bool)
         for name, token in self.tokenizer.get_vocab().items():
             self.spaced[token] = name.startswith("Ġ")
-        #: Ids of words after a space and of lines' beginnings with their line break; words that need their whole text.
+        #: Ids of pieces: a word stands for itself after a space, a word with a line break in front for both.
         self.memo: dict[str, bytes] = {}
-        self.lines: dict[str, bytes] = {}
-        self.odd: set[str] = set()
+        self.firsts: dict[str, bytes] = {}
         self.marks = {mark: self._ids(mark).tobytes() for mark in ",."}
         self.breaks = self._ids("\n")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _together(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, memo: dict[str, bytes]) -> None:
-        """Note the ids of pieces that were encoded in one call, if each has just one start."""
+    def _together(self, pieces: list[str], text: str, begins) -> None:
+        """Encode pieces in one call, if each has just one id that begins it; ``text`` is that of all of them."""
+        ids = self._ids(text)
+        starts = np.flatnonzero(begins(ids))
         if len(starts) == len(pieces):
-            cuts = [*(4 * starts).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            for piece, a, b in zip(pieces, cuts, cuts[1:]):
-                memo[piece] = data[a:b]
+            cuts, data = (4 * starts).tolist(), ids.tobytes()
+            self.memo.update(zip(pieces, map(data.__getitem__, map(slice, cuts, [*cuts[1:], len(data)]))))
 
-    def _learn(self, words: set[str]) -> None:
-        """Encode new words after a space, all in one call.
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode new pieces. Those with further white space, or nothing but it, are left out.
 
-        A comma or full stop after letters is a token of its own, and so is a single line break between other
-        characters: a word with line breaks has the ids of its first piece and of each later one with its break. Words with
-        white space at an end, or with other white space, are odd: what stands around changes their ids.
+        A comma or full stop after letters is an id of its own, so that such words need no look at the library.
         """
-        broken = {w: w.split("\n") for w in words if "\n" in w and len(self.breaks) == 1}
-        broken = {w: pieces for w, pieces in broken.items() if all(p.split() == [p] for p in pieces)}
-        parts = words.difference(broken).union(pieces[0] for pieces in broken.values())
-        marked = {w for w in parts if w[-1:] in (",", ".") and w[:-1].isalpha()}
-        parts = parts.difference(marked).union(w[:-1] for w in marked).difference(self.memo)
-        plain = [w for w in parts if w.split() == [w]]
+        marked = {w: w[:-1] for w in pieces if w[-1:] in (",", ".") and w[:-1].lstrip("\n").isalpha()}
+        wanted = pieces.difference(marked).union(marked.values()).difference(self.memo)
+        plain = [w for w in wanted if w.split() == [w]]
+        lines = [w for w in wanted if w[:1] == "\n" and w.split() == [w[1:]]]
         if plain:
-            ids = self._ids(" " + " ".join(plain))
-            self._together(plain, ids, np.flatnonzero(self.spaced[ids]), self.memo)
-        for word in parts.difference(self.memo):
-            if word and not word[0].isspace() and not word[-1].isspace():
-                self.memo[word] = self._ids(" " + word).tobytes()
-            else:
-                self.odd.add(word)
-        for word in marked:
-            self.memo[word] = self.memo[word[:-1]] + self.marks[word[-1]]
-        later = list({p for pieces in broken.values() for p in pieces[1:]}.difference(self.lines))
-        if later:
-            ids = self._ids("\n" + "\n".join(later))
-            self._together(later, ids, np.flatnonzero(ids == self.breaks[0]), self.lines)
-        for word, pieces in broken.items():
-            if all(p in self.lines for p in pieces[1:]):
-                self.memo[word] = b"".join([self.memo[pieces[0]], *map(self.lines.__getitem__, pieces[1:])])
-            else:
-                self.memo[word] = self._ids(" " + word).tobytes()
-
-    def _text(self, text: str | None, words: list[str] | None, found: list[bytes | None], gaps: list[int]) -> np.ndarray:
-        if words and words[0] and not words[0][-1].isspace():
-            for k in gaps:
-                found[k] = self.memo.get(words[k + 1])
-            if not gaps or None not in found:
-                return np.frombuffer(self._ids(words[0]).tobytes() + b"".join(found), "<u4")
-        return self._ids(text or "")
+            self._together(plain, " " + " ".join(plain), lambda ids: self.spaced[ids])
+        if lines and len(self.breaks) == 1:
+            self._together(lines, "".join(lines), lambda ids: ids == self.breaks[0])
+        for word in [w for w in (*plain, *lines) if w not in self.memo]:
+            self.memo[word] = self._ids(word if word[0] == "\n" else " " + word).tobytes()
+        for word, stem in marked.items():
+            if stem in self.memo:
+                self.memo[word] = self.memo[stem] + self.marks[word[-1]]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.memo) + len(self.lines) + len(self.odd) >= MEMO_WORDS:
-            for known in (self.memo, self.lines, self.odd):
-                known.clear()
-        known, split, missing = self.memo.get, [], set()
-        for text in texts:
-            whole = not text or (self.special is not None and self.special.search(text))
-            words = None if whole else text.split(" ")
-            found = list(map(known, words[1:])) if words else []
-            gaps = [k for k, ids in enumerate(found) if ids is None] if None in found else []
-            missing.update(words[k + 1] for k in gaps)
-            split.append((words, found, gaps))
-        missing.difference_update(self.odd)
+        """Ids of each text. Different pieces are looked up once for all texts, and the ids put together by arrays."""
+        result: list = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if t and not (self.special is not None and self.special.search(t))]
+        start, size = 0, 0
+        for stop, k in enumerate(plain, 1):
+            size += len(texts[k])
+            if size >= TOGETHER or stop == len(plain):
+                some, start, size = plain[start:stop], stop, 0
+                for at, ids in zip(some, self._by_pieces([texts[at] for at in some])):
+                    result[at] = ids
+        return [self._ids(t or "") if ids is None else ids for t, ids in zip(texts, result)]
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of the texts whose pieces are all known or learnt; None for others."""
+        if len(self.memo) + len(self.firsts) >= MEMO_WORDS:
+            self.memo.clear()
+            self.firsts.clear()
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces, places = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        bounds = np.append(lists.offsets.to_numpy()[:-1], len(places))
+        known = list(map(self.memo.get, pieces))
+        missing = {p for p, ids in zip(pieces, known) if ids is None}
         if missing:
             self._learn(missing)
-        return [self._text(text, *parts) for text, parts in zip(texts, split)]
+            known = [self.memo.get(p) if ids is None else ids for p, ids in zip(pieces, known)]
+        # A text's first piece has no space before it: entries of their own, behind the others.
+        begins, first_of = np.unique(places[bounds[:-1]], return_inverse=True)
+        words = [pieces[k] for k in begins.tolist()]
+        new = [w for w in words if w.split() == [w] and w not in self.firsts]
+        if new:
+            for word, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self.firsts[word] = np.array(code.ids, "<u4").tobytes()
+        places[bounds[:-1]] = len(pieces) + first_of
+        known += map(self.firsts.get, words)
+        unknown = np.fromiter((ids is None for ids in known), bool, len(known))
+        length = np.fromiter((len(ids) // 4 if ids else 0 for ids in known), np.int64, len(known))
+        table = np.frombuffer(b"".join(filter(None, known)), "<u4")
+        start = np.cumsum(length) - length
+        each = length[places]
+        ends = np.cumsum(each)
+        ids = table[np.repeat(start[places] - ends + each, each) + np.arange(ends[-1])]
+        lost = np.add.reduceat(unknown[places], bounds[:-1], dtype=np.int64) > 0
+        cuts = np.append(0, ends)[bounds]
+        return [None if gone else ids[a:b] for gone, a, b in zip(lost.tolist(), cuts.tolist(), cuts[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -257,7 +267,7 @@ def write_token_files(df: DataFrame, path: str, folder: str, key: str = "doc_id"
     def written(batches):
         tokenizer = _tokenizer(path)
         bits, part, writer = bits_for(tokenizer.size), TaskContext.get().partitionId(), None
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS):
             if writer is None:
                 writer = TokenFileWriter(Upload(folder, f"part-{part:06d}.ids"), bits, block)
             for key, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(batch.column(1).to_pylist())):
