@@ -31,8 +31,7 @@ def corpus(size, share, seed):
 def brute_force(rows):
     """Cosines of every text with every example, from the definition."""
     def features(text):
-        words = re.findall(r"[a-z0-9]+", text.lower())
-        return Counter(f for w in words for f in [w, *("^" + w[:k] for k in range(4, 9) if len(w) > k)])
+        return Counter(re.findall(r"[a-z0-9]+", text.lower()))
 
     train = [(i, features(t), y) for i, t, y in rows if y is not None and zlib.crc32(str(i).encode()) % 4 != 2]
     n1 = sum(y for _, _, y in train)

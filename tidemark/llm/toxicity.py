@@ -1,19 +1,21 @@
 """Toxicity by the nearest labelled examples.
 
-1. Terms are all words of the whole text and beginnings of words, known by 64-bit digests. In how many labelled texts
-   of either label each term occurs is counted over all training rows; copies of a text count once.
+1. Terms are all words of the whole text, known by 64-bit digests. In how many labelled texts of either label each term
+   occurs is counted over all training rows; copies of a text count once.
 2. A text's vector has ``(1 + log tf) * idf * relevance`` for each of its terms, at length 1 over all of them, those that no
    example has included. The idf is that of the indexed examples. The relevance goes from ``BASE`` for terms that do not
    speak for label 1 to ``1 + BASE``, by the likelihood ratio of the counts without any floor, so every term counts.
 3. A bounded sample of labelled examples (``max_examples``, by a hash of the identifier) is the index: all their terms in
-   sparse inverted lists with block maxima. Examples with like terms are neighbours in it, which makes the maxima tight.
+   inverted lists with block maxima. Examples with like terms are neighbours in it, which makes the maxima tight.
 4. The ``neighbours`` examples of greatest cosine are found exactly: blocks are scored in the order of their bounds, as far
    as these can reach the best. They vote with the square of the cosine as weight, beside a prior vote of weight ``prior``;
    so far examples count little.
-5. Votes become probabilities by isotonic regression on the votes that the examples get from the others. A text without
-   words gets the rate of label 1 among training texts without words.
+5. Votes become probabilities by isotonic regression on the votes that the examples get from the others. For it the words of
+   an example are weighed as if its own label had not been counted. A text without words gets the rate of label 1 among
+   training texts without words.
 
-Defined cases: null and empty texts are texts without words; a text that shares no term with an example gets the rate of
+Defined cases: null and empty texts are texts without words; very long texts count whole, their terms in one array; of equal
+cosines (to 12 digits) the example first in the index is the nearer; a text that shares no term with an example gets the rate of
 label 1; null labels and null identifiers are not learned from; repeated labels of one document count each; repeated rows
 give repeated rows; without labels of both kinds every score is the rate of label 1 (0 if there are none); other columns
 are carried along.
@@ -37,8 +39,6 @@ from tidemark.llm.wand import BlockMaxMatrix
 from tidemark.workspace import broadcast_if_small, shared_table
 
 MAX_EXAMPLES, NEIGHBOURS, PRIOR = 6000, 15, 0.05
-#: Lengths of the beginnings of words.
-BEGINNINGS = range(4, 9)
 #: Weight of terms that do not speak for label 1, and the likelihood ratio (natural units, times two) of half the weight above it.
 BASE, HALF_RATIO = 0.03, 17.3
 MEMO_WORDS, COUNTED_TEXTS = 200_000, 1024
@@ -62,16 +62,11 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
 
 
-def features_of(word: str) -> list[str]:
-    """A word and its beginnings."""
-    return [word, *("^" + word[:k] for k in BEGINNINGS if len(word) > k)]
-
-
 class FeatureIds(dict):
-    """For each piece of text the digests of its words' features, eight bytes each; a piece is worked out when first met."""
+    """For each piece of text the digests of its words, eight bytes each; a piece is worked out when first met."""
 
     def __missing__(self, token: bytes) -> bytes:
-        found = b"".join(hashlib.blake2b(f.encode(), digest_size=8).digest() for word in words_in(token) for f in features_of(word))
+        found = b"".join(hashlib.blake2b(word.encode(), digest_size=8).digest() for word in words_in(token))
         self[token] = found
         return found
 
@@ -85,8 +80,12 @@ class FeatureIds(dict):
 @dataclass
 class ToxicityModel:
     terms: np.ndarray  # the examples' terms, ascending
-    weights: np.ndarray  # idf and relevance of each
-    other: float  # the same of a term that no example has
+    idf: np.ndarray  # of each
+    ones: np.ndarray  # training texts of label 1 that have it
+    zeros: np.ndarray  # training texts of label 0 that have it
+    n1: int  # training texts of label 1
+    n0: int  # training texts of label 0
+    other: float  # weight of a term that no example has
     examples: list[tuple[int, int]]  # id, label
     places: list[np.ndarray]  # places of the terms of each example
     counts: list[np.ndarray]  # how often each occurs
@@ -94,6 +93,11 @@ class ToxicityModel:
     rate: float
     steps: list[tuple[float, float]]  # votes and probabilities, both ascending
 
+    @cached_property
+    def weights(self) -> np.ndarray:
+        """idf and relevance of each term."""
+        return self.idf * (BASE + relevance(self.ones, self.zeros, self.n1, self.n0))
+
     @cached_property
     def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Those of the examples. They and the index are made in each worker: only the counts are sent there."""
@@ -112,6 +116,13 @@ class ToxicityModel:
         values = (1 + np.log(counts.astype(float))) * np.where(known, self.weights[places], self.other)
         return places[known], values[known] / np.sqrt(values @ values)
 
+    def query_of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of an example, weighed as if its label had not been counted."""
+        places, label = self.places[n], self.examples[n][1]
+        ones, zeros = (np.maximum(seen[places] - own, 0) for seen, own in ((self.ones, label), (self.zeros, 1 - label)))
+        values = (1 + np.log(self.counts[n].astype(float))) * self.idf[places] * (BASE + relevance(ones, zeros, self.n1 - label, self.n0 - 1 + label))
+        return places, values / np.sqrt(values @ values)
+
     def vote(self, near: list[tuple[int, float]], prior: float) -> float:
         weights = [(cosine * cosine, self.examples[n][1]) for n, cosine in near]
         return (prior * self.rate + sum(w * y for w, y in weights)) / (prior + sum(w for w, _ in weights))
@@ -162,6 +173,8 @@ def relevance(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     def part(seen, of, share):
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(of * share, 1e-9)), 0.0)
 
+    if not n1 or not n0:
+        return np.zeros(len(a))
     share = (a + b) / (n0 + n1)
     ratio = 2 * (part(a, n1, share) + part(b, n0, share) + part(n1 - a, n1, 1 - share) + part(n0 - b, n0, 1 - share))
     return np.where(a * n0 > b * n1, ratio**2 / (ratio**2 + HALF_RATIO**2), 0.0)
@@ -176,7 +189,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     n0, n1, empty = labelled.agg(F.sum(1 - F.col("label")), F.sum("label"), F.avg(F.when(wordless, F.col("label")))).first()
     n0, n1 = n0 or 0, n1 or 0
     rate = n1 / (n0 + n1) if n0 + n1 else 0.0
-    model = ToxicityModel(np.zeros(0, np.int64), np.zeros(0), 1.0, [], [], [], rate if empty is None or not n0 or not n1 else float(empty), rate, [])
+    none = np.zeros(0, np.int64)
+    model = ToxicityModel(none, none, none, none, n1, n0, 1.0, [], [], [], rate if empty is None or not n0 or not n1 else float(empty), rate, [])
     if not n0 or not n1:
         return model
 
@@ -211,9 +225,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     seen = map_batches(counts, of_examples, counts.schema).toArrow()
     at = np.searchsorted(model.terms, seen["term"].to_numpy())
-    says = np.zeros(len(model.terms))
-    says[at] = relevance(seen["n1"].to_numpy().astype(float), seen["n0"].to_numpy().astype(float), n1, n0)
-    model.weights = (np.log((len(rows) + 1) / (np.bincount(places) + 1)) + 1) * (BASE + says)
+    model.ones, model.zeros = np.zeros(len(model.terms), np.int64), np.zeros(len(model.terms), np.int64)
+    model.ones[at], model.zeros[at] = seen["n1"].to_numpy(), seen["n0"].to_numpy()
+    model.idf = np.log((len(rows) + 1) / (np.bincount(places) + 1)) + 1
     model.other = (np.log(len(rows) + 1) + 1) * BASE
 
     # Texts of like words are put beside each other: by the most frequent term, then by the weightiest.
@@ -227,11 +241,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     def others(batches):
         model = shared.value
-        for batch in batches:
-            votes, kinds = [], []
-            for n in batch.column(0).to_pylist():
-                near = [x for x in model.index.nearest_of(*model.vectors[n], neighbours + 1) if x[0] != n][:neighbours]
-                votes.append(model.vote(near, prior))
+        for batch in slices(batches):
+            votes, kinds, numbers = [], [], batch.column(0).to_pylist()
+            for n, best in zip(numbers, model.index.nearest_of([model.query_of(n) for n in numbers], neighbours + 1)):
+                votes.append(model.vote([x for x in best if x[0] != n][:neighbours], prior))
                 kinds.append(model.examples[n][1])
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(kinds, pa.int32())], ["vote", "label"])
 
@@ -251,9 +264,10 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", neig
         model, known = shared.value, FeatureIds()
         for batch in slices(batches):
             scores, evidence = [], []
-            for value in batch.column(1).to_pylist():
-                terms, counts = known.of(value)
-                near = model.index.nearest_of(*model.vector(terms, counts), neighbours) if len(terms) and model.examples else []
+            found = [known.of(value) for value in batch.column(1).to_pylist()]
+            queries = [model.vector(*own) if len(own[0]) and model.examples else (own[0][:0], np.zeros(0)) for own in found]
+            nearest = model.index.nearest_of(queries, neighbours) if model.examples else [[]] * len(found)
+            for (terms, _), near in zip(found, nearest):
                 score = model.calibrated(model.vote(near, prior)) if near else model.rate if len(terms) else model.empty_rate
                 scores.append(min(max(score, 0.0), 1.0))
                 evidence.append([model.examples[n][0] for n, _ in near[:5]])
