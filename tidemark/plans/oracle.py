@@ -85,6 +85,20 @@ _ORACLE = {
     "stream_multibatch_latest": _EVENT_STATS,
     "stream_compacted": _EVENT_STATS,
     "stream_new_checkpoint": _EVENT_STATS,
+    "stream_late_rows": f"""
+WITH span AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events),
+parted AS (
+  SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS window_end,
+         least((epoch_us(ts) - a) * 4 // (b - a + 1) + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END, 3) AS part
+  FROM events, span WHERE ts IS NOT NULL),
+tops AS (SELECT part, max(ts) AS top FROM parted GROUP BY part),
+bars AS (SELECT a.part, max(b.top) - INTERVAL 1 MINUTE AS bar FROM tops a JOIN tops b ON b.part < a.part GROUP BY a.part)
+SELECT window_start, window_end, event_type, count(*) AS value_count,
+       cast(round(cast(cast({_mean("value")} AS varchar) AS decimal(38, 16)), 2) AS double) AS avg_value,
+       max(value) AS max_value, min(value) AS min_value,
+       cast(count(*) FILTER (WHERE window_end <= bar) AS bigint) AS late_count
+FROM parted LEFT JOIN bars USING (part) GROUP BY ALL
+""",
     "stream_rating_stats": f"""
 WITH {_RATINGS}
 SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) AS window_start,

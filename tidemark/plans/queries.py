@@ -32,6 +32,7 @@ from tidemark.sinks.batches import BATCH
 from tidemark.sinks.compaction import compact_batches, expire_batches, read_compacted
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import csv_lines, read_csv_text, read_table, stream_files
+from tidemark.streaming import late
 from tidemark.streaming.job import DRAIN, finish, rating_stats, start_batches, start_landing
 from tidemark.workspace import run_dir
 
@@ -123,6 +124,23 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(latest.drop(BATCH), "window_start", "window_end")
 
 
+@_register
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data arrives in four parts by time, a fifth of it one part later. Late rows are counted and taken in again."""
+    events, out = table(spark, sf_dir, "events"), run_dir(spark, "stream_late_rows")
+    at = F.unix_micros(as_event_time("ts"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    quarter = F.floor((at - first) * 4 / (last - first + 1))
+    arrives = F.least(quarter + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0), F.lit(3))
+    rows = stream_files(spark, f"{out}/landing*", "parquet", events.schema).withColumn("ts", as_event_time("ts"))
+    writer = late.LateAwareWriter(f"{out}/stats", "ts", "event_type", "value", scale=2)
+    for part in range(4):
+        events.filter(arrives == part).write.mode("append").parquet(f"{out}/landing")
+        _drained(rows, writer, f"{out}/checkpoint")
+    stats = late.reconciled_stats(late.read_parts(spark, f"{out}/stats"), "event_type", "value", scale=2)
+    return _without_zone(stats, "window_start", "window_end")
+
+
 @_register
 def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams with a checkpoint each, one for either half of the time, into the same output."""

@@ -14,6 +14,7 @@ from tidemark.sinks.batches import BatchWriter, first_batch
 from tidemark.sinks.jdbc import jdbc_properties, write_jdbc
 from tidemark.sources.kafka import kafka_stream
 from tidemark.streaming.config import StreamConfig
+from tidemark.streaming.late import LateAwareWriter
 
 # Window, lateness and pace of the statistics job.
 WINDOW = "1 minute"
@@ -30,7 +31,7 @@ def rating_stats(records: DataFrame, json_column: str = "json") -> DataFrame:
 
 def start_batches(
     df: DataFrame,
-    writer: BatchWriter,
+    writer: BatchWriter | LateAwareWriter,
     checkpoint: str,
     trigger: dict | None = None,
     output_mode: str = "update",
