@@ -333,6 +333,28 @@ def test_line_dedup(spark, docs, empty, batches, fan_in):
     assert line_dedup.drop_repeated_lines(empty, batches=batches).count() == 0
 
 
+def test_line_dedup_of_a_third_without_identifier(spark):
+    """Null identifiers are one document; what a row loses is bounded by its own lines, not by that document's."""
+    own = [[f"common line number {k % 5}", f"a line of row {k} alone", f"shared by two rows {k // 2}"] for k in range(60)]
+    rows = [(None if k % 3 == 0 else k, "\n".join(lines)) for k, lines in enumerate(own)]
+    df = spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string")
+    holders = {}
+    for number, text in rows:
+        for line in text.split("\n"):
+            holders.setdefault(line, set()).add(line_dedup.LAST_ID if number is None else number)
+    want = sorted("\n".join(x for x in text.split("\n") if len(holders[x]) < 2 or min(holders[x]) == (line_dedup.LAST_ID if number is None else number)) for number, text in [*rows, rows[0]])
+    for batches in (1, 3):
+        assert sorted(r.kept_text for r in line_dedup.drop_repeated_lines(df, batches=batches).collect()) == want
+        lost = line_dedup.line_owners(df, "doc_id", "text", 10, batches, 2).where(f"id = {line_dedup.LAST_ID}").collect()
+        assert len(lost) == 20 and max(len(r.lost) for r in lost) <= 3
+
+
+def test_exact_dedup_in_many_small_buckets(spark, docs, monkeypatch):
+    want = sorted(map(str, exact_dedup.exact_duplicates(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "BUCKET_ROWS", 2)
+    assert sorted(map(str, exact_dedup.exact_duplicates(docs).collect())) == want
+
+
 @pytest.mark.parametrize("fan_in", [2, 8])
 def test_exact_dedup(spark, docs, empty, fan_in):
     got = exact_dedup.exact_duplicates(docs.repartition(7), fan_in=fan_in).collect()
