@@ -2,15 +2,15 @@
 
 Each task turns its rows into a sorted run of (digest, smallest row, count), cut into buckets by the
 digest's first bytes. In each round the runs of a bucket meet in groups of ``fan_in`` and are merged into one,
-which keeps the smallest identifier and adds the counts, until each bucket has one run. A bucket's run is
-bounded by the distinct digests in it; copies vanish in the first run they are in, so a group with a
+which keeps the smallest identifier and adds the counts, until each bucket has one run. There are enough buckets for
+``BUCKET_ROWS`` rows in each, so a run's size doesn't grow with the table; copies vanish in the first run they are in, so a group with a
 third of all rows costs one entry for each task.
 
 A digest is SHA-256 of the normalised text; every merge also compares the texts' lengths.
 
 Defined cases: null texts count as empty; a null identifier comes after all others; of repeated
 rows with the smallest identifier exactly one is kept; an empty table gives an empty one; other columns
-are not read.
+are not read. Identifiers are read as BIGINT; texts of any length are digested by Spark where they are read and not moved.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from tidemark.workspace import shared_table
 
 #: One entry of a run. The digest is four numbers made of its bytes in big-endian order, so that they sort as the bytes do.
 ENTRY = np.dtype([("d", "<u8", 4), ("id", "<i8"), ("row", "<i8"), ("n", "<i8"), ("size", "<i8")])
+#: Rows for each bucket, at 64 bytes an entry.
+BUCKET_ROWS = 2_000_000
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -53,7 +55,6 @@ def merge_runs(runs: list[np.ndarray]) -> np.ndarray:
 def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", fan_in: int = 8) -> DataFrame:
     """One row for each row of ``df``: ``key``, ``keep_id``, ``group_size``, ``kept`` and the hex digest ``text_sha256``."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     value = normalised(text)
     rows = shared_table(
         df.select(
@@ -64,6 +65,7 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", fan
         ),
         "digests",
     )
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // BUCKET_ROWS))
 
     def runs(batches):
         parts = []
