@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.clean import CORRUPT
 from tidemark.operators.prefix import text_file_prefix
 from tidemark.sources.files import CSV_OPTIONS, read_csv_text, records_as_text, text_schema
+from tidemark.sources import records as csv_sources
 from tidemark.sources.records import csv_records, line_states, text_lines
 from tidemark.workspace import shared_table
 
@@ -133,3 +134,22 @@ def test_a_quote_that_is_never_closed_is_an_error_beyond_the_bound(spark, tmp_pa
 def test_no_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert read_csv_text(spark, str(tmp_path), multi_line=True).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 90, 700])
+def test_a_block_is_dealt_out_by_chunks(spark, tmp_path, records, monkeypatch, chunk):
+    """A file of one block goes to many tasks, and its rows are those of the whole file."""
+    monkeypatch.setattr(csv_sources, "CHUNK_BYTES", chunk, raising=False)
+    monkeypatch.setattr(csv_sources, "TASK_BYTES", 2000, raising=False)
+    written = {}
+    monkeypatch.setattr(csv_sources, "shared_table", lambda df, label: written.setdefault(label, shared_table(df.withColumn("task", F.spark_partition_id()), label)).drop("task"))
+    rng = random.Random(chunk)
+    for name in ("a.csv", "b b.csv"):
+        (tmp_path / name).write_text(random_file(rng, 150))
+    lines = shared_table(text_lines(spark, str(tmp_path)), "lines")
+    assert lines.select("file", "block").distinct().count() == 2
+    found = csv_records(lines)
+    assert records(records_as_text(found, COLUMNS).drop(CORRUPT)) == records(whole_files(spark, tmp_path))
+    assert found.filter("is_header").count() == 2
+    tasks = [n for _, n in written["csv-pieces"].groupBy("task").agg(F.sum(F.octet_length("text"))).collect()]
+    assert len(tasks) > 10 and max(tasks) < 0.25 * sum(tasks)

@@ -2,13 +2,14 @@
 
 Whether a line break ends a record depends on all text before it. But at a line's beginning the parser is in one of two
 states only, at a record's start or inside quotes, so a line is a function from state to state, and so is a block of lines
-(a split of the file): ``opens`` is where it ends up from a record's start, ``stays`` from inside quotes. A function
-is either constant, forgets what came before, or passes the state on, as it is or swapped. So the state at each block's
-beginning is the last constant before it with the swaps since, and the same holds for the lines of a block.
+(a split of the file) and each chunk of one: ``opens`` is where it ends up from a record's start, ``stays`` from inside quotes. A function
+is either constant, forgets what came before, or passes the state on, as it is or swapped. So the state at each chunk's
+beginning is the last constant before it with the swaps since, and the same holds for the lines of a chunk.
 
-Lines are scanned once and written down. Blocks in which no field is ever open need no more; their lines are
-records. Only the lines of other blocks are shuffled, by block, and joined; what a block has of a record that began
-in an earlier one is then added to its owner.
+Lines are scanned once and written down. A block can be as large as a split, so it is cut by position into chunks of
+some :data:`CHUNK_BYTES`. Chunks in which no field is ever open need no more; their lines are
+records. Only the lines of other chunks are shuffled, by chunk, to as many tasks as their bytes ask for, and joined; what a
+chunk has of a record that began in an earlier one is then added to its owner.
 
 The rules for quotes are those of :data:`~tidemark.sources.files.CSV_OPTIONS`: a field is quoted if its first character is a
 quote; a doubled quote stands for one; after the closing quote anything up to the next comma or line break belongs to
@@ -17,14 +18,22 @@ the field, further quotes included. Line breaks of any kind (LF, CR LF, CR) insi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.workspace import shared_table
+from tidemark.workspace import broadcast_if_small, shared_table
 
 #: Longest record, in bytes: a quote that is never closed is an error, not a task that holds the rest of the file.
 MAX_RECORD_BYTES = 64 * 1024 * 1024
 
+#: Text of a chunk, on average over its block, and of a task that joins the lines of chunks, on average over all of them.
+CHUNK_BYTES = 1024 * 1024
+TASK_BYTES = 32 * 1024 * 1024
+
+_CHUNK = ["file", "block", "chunk"]
+
 # Possessive throughout, so that a match takes one pass and no stack.
 _OPEN = r'"(?:[^"]++|"")*+'
 _FIELDS = rf'(?:(?:{_OPEN}"[^,]*+|[^",][^,]*+|),)*+'
@@ -56,35 +65,46 @@ def _differ(a: Column, b: Column) -> Column:
     return a != b
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """For each block: its first line, whether it begins inside quotes, whether it is a file's first, and whether any
-    field is open at the end of one of its lines. One row for each block, from two passes over flags only."""
-    keys = ["file", "block"]
+def _chunked(lines: DataFrame) -> DataFrame:
+    """``lines`` with the number of their chunk, equal stretches of positions within each block."""
+    extents = lines.groupBy("file", "block").agg(
+        F.min("position").alias("begin"),
+        (F.max("position") - F.min("position") + 1).alias("span"),
+        F.ceil(F.sum("bytes") / CHUNK_BYTES).alias("chunks"),
+    )
+    placed = lines.join(broadcast_if_small(extents, "csv-blocks"), ["file", "block"])
+    return placed.withColumn("chunk", F.expr("(position - begin) * chunks div span")).drop("begin", "span", "chunks")
+
+
+def _chunks(lines: DataFrame) -> DataFrame:
+    """For each chunk: its first line, its bytes, whether it begins inside quotes, whether it is a file's first, and whether any
+    field is open at the end of one of its lines. One row for each chunk, from two passes over flags only."""
     constant = F.col("opens") == F.col("stays")
-    blocks = lines.groupBy(*keys).agg(
+    chunks = lines.groupBy(*_CHUNK).agg(
         F.min("position").alias("first"),
+        F.sum("bytes").alias("bytes"),
         F.max(F.when(constant, F.struct("position", "opens"))).alias("last"),
         F.bool_or("opens").alias("opening"),
     )
-    blocks = shared_table(blocks, "csv-blocks")
+    chunks = shared_table(chunks, "csv-chunks")
     swaps = (
         lines.where(F.col("opens") & ~F.col("stays"))
-        .select(*keys, "position")
-        .join(blocks.select(*keys, "last"), keys)
+        .select(*_CHUNK, "position")
+        .join(chunks.select(*_CHUNK, "last"), _CHUNK)
         .where(F.col("last").isNull() | (F.col("position") > F.col("last.position")))
-        .groupBy(*keys)
+        .groupBy(*_CHUNK)
         .agg(F.count("*").alias("swaps"))
     )
-    placed = blocks.join(swaps, keys, "left").withColumn("swaps", F.coalesce("swaps", F.lit(0)))
-    # A block's outcome: fixed, or the state before it, swapped or not.
+    placed = chunks.join(swaps, _CHUNK, "left").withColumn("swaps", F.coalesce("swaps", F.lit(0)))
+    # A chunk's outcome: fixed, or the state before it, swapped or not.
     fixed = _differ(F.col("last.opens"), _odd(F.col("swaps")))
-    in_file = Window.partitionBy("file").orderBy("block")
+    in_file = Window.partitionBy("file").orderBy("block", "chunk")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     passed = F.when(F.col("last").isNull(), F.col("swaps")).otherwise(0)
     placed = placed.withColumn("swapped", F.sum(passed).over(in_file)).withColumn("anchor", _differ(fixed, _odd(F.col("swapped"))))
     start = _differ(F.coalesce(F.last("anchor", True).over(before), F.lit(False)), _odd(F.coalesce(F.sum(passed).over(before), F.lit(0))))
     return placed.select(
-        *keys, "first", start.alias("inside"), (F.row_number().over(in_file) == 1).alias("leads"), (F.col("opening") | start).alias("broken")
+        *_CHUNK, "first", F.col("bytes").alias("chunk_bytes"), start.alias("inside"), (F.row_number().over(in_file) == 1).alias("leads"), (F.col("opening") | start).alias("broken")
     )
 
 
@@ -92,37 +112,41 @@ def csv_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     """Records as (file, block, position, record, is_header) from lines as (file, block, position, line).
 
     Block and position are those of a record's first line; ``is_header`` marks the first record of each file. A record
-    may span any number of blocks. One of more than ``max_bytes`` is an error. A field that is still open at the end of a file
+    may span any number of blocks. One of more than ``max_bytes``, line breaks included, is an error. A field that is still open at the end of a file
     ends there, without the file's last line break.
     """
-    # The tables of blocks are small, and Spark sees that by their files: joins with them broadcast or shuffle by size.
-    keys = ["file", "block"]
+    # The tables of chunks are small, and Spark sees that by their files: joins with them broadcast or shuffle by size.
+    keys = _CHUNK
     opens, stays = line_states("line")
-    lines = shared_table(lines.select(*keys, "position", "line", opens.alias("opens"), stays.alias("stays")), "csv-lines")
-    blocks = shared_table(_blocks(lines), "csv-block-states")
+    size = F.octet_length("line").cast("bigint") + 1
+    lines = lines.select("file", "block", "position", "line", size.alias("bytes"), opens.alias("opens"), stays.alias("stays"))
+    lines = _chunked(shared_table(lines, "csv-lines"))
+    chunks = broadcast_if_small(_chunks(lines), "csv-chunk-states")
     header = F.col("leads") & (F.col("position") == F.col("first"))
-    placed = lines.join(blocks, keys)
-    columns = [*keys, "position", "record", "is_header"]
-    plain = placed.where(~F.col("broken")).select(*keys, "position", F.col("line").alias("record"), header.alias("is_header"))
-    if blocks.where("broken").isEmpty():
+    placed = lines.join(chunks, keys)
+    columns = ["file", "block", "position", "record", "is_header"]
+    plain = placed.where(~F.col("broken")).select("file", "block", "position", F.col("line").alias("record"), header.alias("is_header"))
+    broken = chunks.where("broken").agg(F.sum("chunk_bytes")).first()[0]
+    if broken is None:
         return plain
 
-    # Lines of the other blocks in order, with the state before each and the number of the record they are in.
-    in_block = Window.partitionBy(*keys).orderBy("position")
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    # Lines of the other chunks in order, with the state before each and the number of the record they are in.
+    in_chunk = Window.partitionBy(*keys).orderBy("position")
+    before = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
     swap = (F.col("opens") & ~F.col("stays")).cast("bigint")
-    size = F.octet_length("line").cast("bigint") + 1
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, math.ceil(broken / TASK_BYTES))
     states = (
         placed.where("broken")
-        .withColumn("swapped", F.sum(swap).over(in_block))
+        .repartition(tasks, *keys)
+        .withColumn("swapped", F.sum(swap).over(in_chunk))
         .withColumn("anchor", F.when(F.col("opens") == F.col("stays"), _differ(F.col("opens"), _odd(F.col("swapped")))))
         .withColumn("begins", ~_differ(F.coalesce(F.last("anchor", True).over(before), F.col("inside")), _odd(F.col("swapped") - swap)))
-        .withColumn("number", F.sum(F.col("begins").cast("bigint")).over(in_block))
-        .withColumn("bytes", F.sum(size).over(in_block))
-        .withColumn("base", F.coalesce(F.last(F.when(F.col("begins"), F.col("bytes") - size), True).over(in_block), F.lit(0)))
+        .withColumn("number", F.sum(F.col("begins").cast("bigint")).over(in_chunk))
+        .withColumn("ends", F.sum("bytes").over(in_chunk))
+        .withColumn("base", F.coalesce(F.last(F.when(F.col("begins"), F.col("ends") - F.col("bytes")), True).over(in_chunk), F.lit(0)))
     )
     too_long = F.raise_error(F.concat(F.lit(f"record of more than {max_bytes} bytes in "), F.col("file")))
-    line = F.when(F.col("bytes") - F.col("base") > max_bytes, too_long).otherwise(F.col("line"))
+    line = F.when(F.col("ends") - F.col("base") > max_bytes, too_long).otherwise(F.col("line"))
     joined = lambda parts: F.array_join(F.transform(F.array_sort(parts), lambda p: p.text), "\n")
     pieces = states.groupBy(*keys, "number").agg(
         F.min(F.struct("position", header.alias("is_header"))).alias("start"),
@@ -130,20 +154,22 @@ def csv_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     )
     pieces = shared_table(pieces.select(*keys, "number", "start.*", "text"), "csv-pieces")
 
-    # The head of a block (number 0) belongs to the last record that began in a block before it.
+    # The head of a chunk (number 0) belongs to the last record that began in a chunk before it.
+    here = F.struct("block", "chunk").alias("from")
+    size = (F.octet_length("text").cast("bigint") + 1).alias("size")
     last = pieces.groupBy(*keys).agg(F.max("number").alias("last"))
-    begun = F.when(F.col("last") > 0, F.struct(F.col("block"), F.col("last").alias("number")))
-    owner = F.last(begun, True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    owned = last.select(*keys, owner.alias("owner"))
-    heads = pieces.where("number = 0").join(owned, keys).select("file", F.col("owner.*"), F.col("block").alias("from"), F.octet_length("text").alias("size"))
+    begun = F.when(F.col("last") > 0, F.struct(F.col("block"), F.col("chunk"), F.col("last").alias("number")))
+    in_order = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    owned = last.select(*keys, F.last(begun, True).over(in_order).alias("owner"))
+    heads = pieces.where("number = 0").join(owned, keys).select("file", F.col("owner.*"), here, size)
     heads = shared_table(heads, "csv-heads")
-    lengths = pieces.join(heads.select("file", "block", "number").distinct(), [*keys, "number"]).select(*keys, "number", F.octet_length("text").alias("size"))
+    lengths = pieces.join(heads.select(*keys, "number").distinct(), [*keys, "number"]).select(*keys, "number", size)
     total = heads.select(*keys, "number", "size").unionByName(lengths).groupBy(*keys, "number").agg(F.sum("size").alias("total"))
     total = shared_table(total, "csv-spanning")
     parts = (
-        pieces.where("number > 0").withColumn("from", F.col("block")).join(total, [*keys, "number"])
+        pieces.where("number > 0").withColumn("from", F.struct("block", "chunk")).join(total, [*keys, "number"])
         .unionByName(
-            pieces.where("number = 0").select("file", F.col("block").alias("from"), "position", "is_header", "text")
+            pieces.where("number = 0").select("file", here, "position", "is_header", "text")
             .join(heads.drop("size"), ["file", "from"]).join(total, [*keys, "number"])
         )
     )
@@ -151,6 +177,6 @@ def csv_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     spanning = parts.groupBy(*keys, "number").agg(
         F.min(F.struct("from", "position", "is_header")).alias("start"), joined(F.collect_list(F.struct("from", fits.alias("text")))).alias("record")
     )
-    spanning = spanning.select(*keys, F.col("start.position").alias("position"), "record", F.col("start.is_header").alias("is_header"))
+    spanning = spanning.select("file", "block", F.col("start.position").alias("position"), "record", F.col("start.is_header").alias("is_header"))
     within = pieces.where("number > 0").join(total, [*keys, "number"], "left_anti").withColumnRenamed("text", "record")
     return plain.unionByName(within.select(*columns)).unionByName(spanning.select(*columns))
