@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,27 @@ def test_changes(spark, records):
     assert records(after) == [(1, "new1"), (3, "back3"), (5, "old5"), (7, "new7")]
 
 
+@pytest.mark.parametrize("versions", [False, True])
+def test_only_a_delta_of_small_measured_size_is_broadcast(spark, records, monkeypatch, versions):
+    base = spark.range(1000).select((F.col("id") % 900).alias("k"), F.lit("old").alias("s"))
+    base = base.withColumn("version", F.lit(2)) if versions else base
+    changes = spark.range(500, 2000).select(F.col("id").alias("k"), F.lit("new").alias("s"), F.lit(3).alias("version"), F.when(F.col("id") % 2 == 0, "D").alias("op"))
+
+    def joins():
+        after = incremental.apply_changes(base, changes, ["k"], "version")
+        rows = records(after.select("k", "s"))
+        return rows, set(re.findall("SortMergeJoin|BroadcastHashJoin", after._jdf.queryExecution().executedPlan().toString()))
+
+    small, plan = joins()
+    assert "BroadcastHashJoin" in plan
+    measured = incremental.broadcast_if_small
+    monkeypatch.setattr(incremental, "broadcast_if_small", lambda df, label: measured(df, label, max_bytes=1000))
+    large, plan = joins()
+    assert "SortMergeJoin" in plan and large == small
+    assert versions or "BroadcastHashJoin" not in plan
+    assert large == sorted([*[(k % 900, "old") for k in range(1000) if k % 900 < 500], *[(k, "new") for k in range(501, 2000, 2)]], key=repr)
+
+
 def test_merged_stats_equal_stats_of_all_rows(spark, records):
     random.seed(7)
     rows = [(random.choice("aaab"), random.randrange(100)) for _ in range(500)]

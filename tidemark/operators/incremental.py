@@ -68,7 +68,8 @@ def _reconciled(
     A delta row older than the base's row of its key changes nothing; of equal versions the
     delta wins, and a null version is older than any other. Without a version in ``base`` the delta always wins. The
     delta is reduced and written once; a small one is broadcast by measured size, so
-    ``base`` is not shuffled.
+    ``base`` is not shuffled. Any other is merged: its keys take a small part of compressed files, and by their
+    size Spark would broadcast millions of them, whole to each task's memory.
     """
     newest = broadcast_if_small(latest_version(delta, keys, version), "delta")
     mark = "delta_"
@@ -76,6 +77,8 @@ def _reconciled(
         *[F.col(f"`{k}`").alias(f"{mark}{k}") for k in keys], F.col(version).alias(f"{mark}{version}")
     )
     same = _same_key(keys, mark)
+    # A broadcast hint of the other side goes before this one.
+    base = base.hint("merge")
     if version not in base.columns:
         return base.join(heads, same, "left_anti"), newest
     newer = F.coalesce(
