@@ -142,7 +142,7 @@ def test_a_block_is_dealt_out_by_chunks(spark, tmp_path, records, monkeypatch, c
     monkeypatch.setattr(csv_sources, "CHUNK_BYTES", chunk, raising=False)
     monkeypatch.setattr(csv_sources, "TASK_BYTES", 2000, raising=False)
     written = {}
-    monkeypatch.setattr(csv_sources, "shared_table", lambda df, label: written.setdefault(label, shared_table(df.withColumn("task", F.spark_partition_id()), label)).drop("task"))
+    monkeypatch.setattr(csv_sources, "shared_table", lambda df, label, *codec: written.setdefault(label, shared_table(df.withColumn("task", F.spark_partition_id()), label, *codec)).drop("task"))
     rng = random.Random(chunk)
     for name in ("a.csv", "b b.csv"):
         (tmp_path / name).write_text(random_file(rng, 150))

@@ -32,6 +32,9 @@ MAX_RECORD_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 1024 * 1024
 TASK_BYTES = 32 * 1024 * 1024
 
+#: Of the two tables that hold all text, besides the files themselves and a shuffle.
+TEXT_CODEC = "zstd"
+
 _CHUNK = ["file", "block", "chunk"]
 
 # Possessive throughout, so that a match takes one pass and no stack.
@@ -120,7 +123,7 @@ def csv_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     opens, stays = line_states("line")
     size = F.octet_length("line").cast("bigint") + 1
     lines = lines.select("file", "block", "position", "line", size.alias("bytes"), opens.alias("opens"), stays.alias("stays"))
-    lines = _chunked(shared_table(lines, "csv-lines"))
+    lines = _chunked(shared_table(lines, "csv-lines", TEXT_CODEC))
     chunks = broadcast_if_small(_chunks(lines), "csv-chunk-states")
     header = F.col("leads") & (F.col("position") == F.col("first"))
     placed = lines.join(chunks, keys)
@@ -152,7 +155,7 @@ def csv_records(lines: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
         F.min(F.struct("position", header.alias("is_header"))).alias("start"),
         joined(F.collect_list(F.struct("position", line.alias("text")))).alias("text"),
     )
-    pieces = shared_table(pieces.select(*keys, "number", "start.*", "text"), "csv-pieces")
+    pieces = shared_table(pieces.select(*keys, "number", "start.*", "text"), "csv-pieces", TEXT_CODEC)
 
     # The head of a chunk (number 0) belongs to the last record that began in a chunk before it.
     here = F.struct("block", "chunk").alias("from")

@@ -29,11 +29,11 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def shared_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later jobs start from files."""
+def shared_table(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later jobs start from files, of the session's codec by default."""
     spark = df.sparkSession
     path = run_dir(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
